@@ -10,6 +10,7 @@ from docketry.llm.components import connected_components, star_edges
 from docketry.llm.mixing import mix, shares
 from docketry.llm.packing import pack
 from docketry.llm.tokens import token_count
+from docketry.llm.textstats import text_stats
 from docketry.plans.registry import Registry
 from docketry.sources.tables import table
 
@@ -48,3 +49,22 @@ def p9_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shares reached by the selection."""
     return shares(p9_selection(spark, sf_dir).withColumnRenamed("tokens", "size"), _targets(spark, sf_dir))
+
+
+def _function_words(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The function words of all languages; a table of fixed size."""
+    return sorted({r["word"] for r in table(spark, sf_dir, "common_word").select("word").distinct().collect() if r["word"]})
+
+
+@LLM.query("p10_stats")
+def p10_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and verdict of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", text_stats(F.col("text"), _function_words(spark, sf_dir)).alias("s"))
+    return docs.select("doc_id", "s.*")
+
+
+@LLM.query("p10_found")
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that are mostly no natural prose."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", text_stats(F.col("text"), _function_words(spark, sf_dir)).getField("text_class").alias("text_class"))
+    return docs.where(F.col("text_class") != "prose")
