@@ -11,6 +11,7 @@ from docketry.llm.mixing import mix, shares
 from docketry.llm.packing import pack
 from docketry.llm.tokens import token_count
 from docketry.llm.textstats import text_stats
+from docketry.llm.web import fit_models, labelled_pieces, main_text, residue_records
 from docketry.plans.registry import Registry
 from docketry.sources.tables import table
 
@@ -68,3 +69,35 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that are mostly no natural prose."""
     docs = table(spark, sf_dir, "documents").select("doc_id", text_stats(F.col("text"), _function_words(spark, sf_dir)).getField("text_class").alias("text_class"))
     return docs.where(F.col("text_class") != "prose")
+
+
+def _web_records(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    pages = table(spark, sf_dir, "page_result").select(F.lit("page_result").alias("source_table"), F.col("page_id").cast("string").alias("record_id"), F.lit("page").alias("kind"), F.col("html").alias("body"))
+    texts = table(spark, sf_dir, "judgment").select(F.lit("judgment").alias("source_table"), F.col("id").alias("record_id"), F.lit("text").alias("kind"), F.col("full_text").alias("body"))
+    return pages, texts
+
+
+@LLM.query("p2_found")
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that hold template residue, filler, an error message or a script notice in place of content."""
+    pages, texts = _web_records(spark, sf_dir)
+    models = fit_models(pages, texts, _function_words(spark, sf_dir), with_blocks=False)
+    return residue_records(pages.unionByName(texts), models)
+
+
+def _pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, texts = _web_records(spark, sf_dir)
+    models = fit_models(pages, texts, _function_words(spark, sf_dir), with_blocks=True)
+    return labelled_pieces(pages.unionByName(texts), models)
+
+
+@LLM.query("p7_found")
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of records that are site matter."""
+    return _pieces(spark, sf_dir).where("site").select("source_table", "record_id", "piece_no")
+
+
+@LLM.query("p7_main_text")
+def p7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main body of every record."""
+    return main_text(_pieces(spark, sf_dir))

@@ -42,6 +42,6 @@ def test_counts_and_empty_texts():
 
 
 def test_column_form_and_long_text(spark):
-    texts = [*CASES, None, " ".join(f"In village {i} the order of the court was read out by the clerk." for i in range(3000))]
+    texts = [*CASES, None, " ".join(f"In the village of {chr(97 + i % 26)}{chr(97 + i // 26 % 26)}pur the order of bench {i} was read out by the clerk." for i in range(3000))]
     rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string").select("i", text_stats(F.col("text"), sorted(WORDS)).alias("s")).orderBy("i").collect()
     assert [r["s"]["text_class"] for r in rows] == [*CASES.values(), None, "prose"]
