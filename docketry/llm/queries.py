@@ -10,6 +10,7 @@ from docketry.llm.components import connected_components, star_edges
 from docketry.llm.mixing import mix, shares
 from docketry.llm.packing import pack
 from docketry.llm.tokens import token_count
+from docketry.llm.scans import count_language, scan_noise
 from docketry.llm.textstats import text_stats
 from docketry.llm.web import fit_models, labelled_pieces, main_text, residue_records
 from docketry.plans.registry import Registry
@@ -101,3 +102,24 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main body of every record."""
     return main_text(_pieces(spark, sf_dir))
+
+
+def _scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def of(name: str, text: str) -> DataFrame:
+        return table(spark, sf_dir, name).select(F.lit(name).alias("source_table"), F.col("id").alias("record_id"), F.col(text).alias("text"))
+
+    return of("statute_section_version", "section_text").unionByName(of("judgment", "full_text"))
+
+
+@LLM.query("p5_found")
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The kinds of scanning noise in sections and judgments."""
+    records = _scanned(spark, sf_dir)
+    return scan_noise(records, count_language(records), ["judgment"])
+
+
+@LLM.query("p5_repaired")
+def p5_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scanned sections and judgments as continuous paragraphs with the noise undone."""
+    records = _scanned(spark, sf_dir)
+    return scan_noise(records, count_language(records), ["judgment"], repaired=True)
