@@ -303,7 +303,7 @@ def _paragraphs(lines: list[str]) -> str:
     out: list[str] = []
     for line in lines:
         s = " ".join(line.split())
-        if s and out and out[-1] and (s[0].islower() or (len(out[-1]) > 30 and out[-1][-1] not in ".:;?!۔" and not s.isupper())):
+        if s and out and out[-1] and (s[0].islower() and not (out[-1].isupper() and len(out[-1]) < 40) or (len(out[-1]) > 30 and out[-1][-1] not in ".:;?!۔" and not s.isupper())):
             out[-1] += " " + s
         else:
             out.append(s)
