@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from docketry.functions.citations import citation_key
 from docketry.llm.components import connected_components, star_edges
 from docketry.llm.mixing import mix, shares
+from docketry.llm.names import link_variants, variant_pairs
 from docketry.llm.packing import pack
 from docketry.llm.tokens import token_count
 from docketry.llm.scans import count_language, scan_noise
@@ -123,3 +124,23 @@ def p5_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scanned sections and judgments as continuous paragraphs with the noise undone."""
     records = _scanned(spark, sf_dir)
     return scan_noise(records, count_language(records), ["judgment"], repaired=True)
+
+
+def _typed_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judges = table(spark, sf_dir, "judgment").select(F.lit("judge").alias("name_kind"), F.explode("judge_names").alias("name"))
+    parties = table(spark, sf_dir, "case_metadata").select(F.lit("party").alias("name_kind"), F.explode(F.array("petitioner", "respondent")).alias("name"))
+    return judges.unionByName(parties)
+
+
+@LLM.query("p1_found")
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of different spellings of one judge, person or body."""
+    return variant_pairs(link_variants(_typed_names(spark, sf_dir)))
+
+
+@LLM.query("p1_entities")
+def p1_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every spelling with its entity and the number of spellings of it."""
+    linked = link_variants(_typed_names(spark, sf_dir))
+    sizes = linked.groupBy("name_kind", "entity").agg(F.count(F.lit(1)).alias("spellings"))
+    return linked.join(sizes, ["name_kind", "entity"])
