@@ -65,7 +65,7 @@ def digit_ratio(text: Column) -> Column:
 
 
 # Sequences that Latin-1 readings of UTF-8 leave behind, and limits of the quality rules.
-MOJIBAKE = r"Ã.|Â.|â€|Ø.|Ù.|Û.|Ú."
+MOJIBAKE = r"(?s)Ã.|Â.|â€|Ø.|Ù.|Û.|Ú."
 LEAST_CHARS, MOST_MOJIBAKE, LEAST_LETTERS, LEAST_LETTERS_SCHEDULE = 40, 0.012, 0.28, 0.12
 SCHEDULE = r"(?i)(schedule|tariff|heading|rate of duty)"
 

@@ -1,6 +1,6 @@
 """All queries of the core; importing the modules registers them."""
 
-from docketry.plans import history_queries, read_queries, report_queries  # noqa: F401
+from docketry.plans import extract_queries, history_queries, pipeline_queries, quality_queries, read_queries, relational_queries, report_queries, stream_queries  # noqa: F401
 from docketry.plans.registry import CORE
 
 __all__ = ["CORE"]

@@ -157,7 +157,7 @@ def export_judgments(spark, sf):
     "record_violations",
     """SELECT id, list_filter([CASE WHEN canonical_citation IS NULL OR canonical_citation = '' THEN 'citation' END, CASE WHEN decision_year NOT BETWEEN 1947 AND 2100 THEN 'year' END,
       CASE WHEN confidence_score NOT BETWEEN 0 AND 1 THEN 'confidence' END, CASE WHEN bench_type NOT IN ('single','division','full','larger') THEN 'bench_type' END,
-      CASE WHEN length(trim(coalesce(full_text, ''))) < 200 THEN 'thin' END, CASE WHEN court_id IS NULL THEN 'court' END, CASE WHEN sha256(full_text) <> full_text_hash THEN 'hash' END], x -> x IS NOT NULL) AS violations FROM judgment""",
+      CASE WHEN length(trim(coalesce(full_text, ''))) < 200 THEN 'thin' END, CASE WHEN court_id IS NULL THEN 'court' END, CASE WHEN sha256(full_text) <> full_text_hash THEN 'hash' END], lambda x: x IS NOT NULL) AS violations FROM judgment""",
 )
 def record_violations(spark, sf):
     """The rules that each record breaks; an empty list is a sound record."""
