@@ -117,10 +117,11 @@ def is_binary_garbage(text: Column) -> Column:
     """Mostly characters that no text has: signatures of image files, or unprintable characters."""
     body = F.coalesce(text, F.lit(""))
     total = F.length(body)
+    least = F.greatest(total, F.lit(1))
     allowed = F.regexp_count(body, F.lit(r"[\x20-\x7e\s\p{L}\p{M}\p{N}\p{P}]"))
     nonprint = F.regexp_count(body, F.lit(r"[\x00-\x08\x0e-\x1f\x7f]"))
     return (F.length(F.trim(body)) > 0) & (
-        ((total >= 8) & (allowed / total < 0.5)) | (body.rlike("JFIF|ICC_PROFILE") & (allowed / total < 0.85)) | ((total >= 32) & (nonprint / total > 0.2))
+        ((total >= 8) & (allowed / least < 0.5)) | (body.rlike("JFIF|ICC_PROFILE") & (allowed / least < 0.85)) | ((total >= 32) & (nonprint / least > 0.2))
     )
 
 

@@ -92,7 +92,7 @@ def html_to_text(html: Column) -> Column:
         out = F.replace(out, F.lit(entity), F.lit(char))
     out = F.regexp_replace(out, r"[ \t]+", " ")
     out = F.regexp_replace(out, r" ?\n ?", "\n")
-    return F.trim(F.regexp_replace(out, r"\n{3,}", "\n\n"))
+    return F.regexp_replace(F.regexp_replace(out, r"\n{3,}", "\n\n"), r"^\s+|\s+$", "")
 
 
 def page_links(html: Column) -> Column:

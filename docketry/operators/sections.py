@@ -48,7 +48,7 @@ def split_sections(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     parts = F.filter(F.split(marked, "\x01"), lambda p: F.length(F.trim(p)) > 0)
     rows = docs.where(F.length(F.trim(F.coalesce(F.col(text), F.lit("")))) > 0).select(id_col, F.posexplode(parts).alias("ordinal", "_part"))
     head = r"^(?:Section )?([0-9]+[A-Z]?(?:-[A-Z])?)\. "
-    return rows.select(id_col, F.col("ordinal").cast("int"), F.nullif(F.regexp_extract("_part", head, 1), F.lit("")).alias("section_number"), F.trim(F.regexp_replace("_part", head, "")).alias("section_text"))
+    return rows.select(id_col, F.col("ordinal").cast("int"), F.nullif(F.regexp_extract("_part", head, 1), F.lit("")).alias("section_number"), F.regexp_replace(F.regexp_replace("_part", head, ""), r"^\s+|\s+$", "").alias("section_text"))
 
 
 def fuller_text_wins(sections: DataFrame, doc: str, number: str, text: str, order: str) -> DataFrame:

@@ -163,7 +163,7 @@ def _html_sql() -> str:
         out = f"replace({out}, '{entity}', '{char}')"
     out = f"regexp_replace({out}, '[ \\t]+', ' ', 'g')"
     out = f"regexp_replace({out}, ' ?\\n ?', chr(10), 'g')"
-    return f"trim(regexp_replace({out}, '\\n{{3,}}', chr(10) || chr(10), 'g'))"
+    return f"regexp_replace(regexp_replace({out}, '\\n{{3,}}', chr(10) || chr(10), 'g'), '^\\s+|\\s+$', '', 'g')"
 
 
 @CORE.query("html_to_text", f"SELECT page_id, {_html_sql()} AS text FROM page_result")

@@ -9,10 +9,10 @@ from docketry.functions.urls import has_pdf_signature, is_image_bytes
 
 
 def raw_objects(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Files as rows (path, length, modified, content_hash, kind), read as binary; the kind is pdf, image, html, empty or other by content."""
+    """Files as rows (path, length, modified, content_hash, kind), read as binary; the kind is pdf, image, html or other by content. Empty files are no rows."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
     head = F.lower(F.decode(F.substring("content", 1, 256), "ISO-8859-1"))
-    kind = F.when(F.col("length") == 0, "empty").when(has_pdf_signature(F.col("content")), "pdf").when(is_image_bytes(F.col("content")), "image").when(F.contains(head, F.lit("<html")) | F.contains(head, F.lit("<!doctype")), "html").otherwise("other")
+    kind = F.when(has_pdf_signature(F.col("content")), "pdf").when(is_image_bytes(F.col("content")), "image").when(F.contains(head, F.lit("<html")) | F.contains(head, F.lit("<!doctype")), "html").otherwise("other")
     return files.select("path", "length", F.col("modificationTime").alias("modified"), F.sha2("content", 256).alias("content_hash"), kind.alias("kind"))
 
 
