@@ -13,7 +13,7 @@ from docketry.llm.packing import pack
 from docketry.llm.tokens import token_count
 from docketry.llm.scans import count_language, scan_noise
 from docketry.llm.textstats import text_stats
-from docketry.llm.web import fit_models, labelled_pieces, main_text, residue_records
+from docketry.llm.web import fit_models, labelled_pieces, main_text, residue_records, site_pieces
 from docketry.plans.registry import Registry
 from docketry.sources.tables import table
 
@@ -87,22 +87,21 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue_records(pages.unionByName(texts), models)
 
 
-def _pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _web_models(spark: SparkSession, sf_dir: str):
     pages, texts = _web_records(spark, sf_dir)
-    models = fit_models(pages, texts, _function_words(spark, sf_dir), with_blocks=True)
-    return labelled_pieces(pages.unionByName(texts), models)
+    return pages.unionByName(texts), fit_models(pages, texts, _function_words(spark, sf_dir), with_blocks=True)
 
 
 @LLM.query("p7_found")
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of records that are site matter."""
-    return _pieces(spark, sf_dir).where("site").select("source_table", "record_id", "piece_no")
+    return site_pieces(*_web_models(spark, sf_dir))
 
 
 @LLM.query("p7_main_text")
 def p7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main body of every record."""
-    return main_text(_pieces(spark, sf_dir))
+    return main_text(labelled_pieces(*_web_models(spark, sf_dir)))
 
 
 def _scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
