@@ -79,14 +79,6 @@ def instrument_relations(spark, sf):
     return resolve_unique(i, "named", table(spark, sf, "statute").select(F.col("id").alias("sid"), "name"), ["name"], "sid")
 
 
-@CORE.query("amendment_clauses")
-def amendment_clauses(spark, sf):
-    """Amending clauses of instruments and sections: operation, section and statute."""
-    i = table(spark, sf, "instrument").select("id", F.col("full_text").alias("t")).unionByName(table(spark, sf, "statute_section_version").select("id", F.col("section_text").alias("t")))
-    found = i.where(F.col("t").rlike("(?i)inserted|substituted|omitted|repealed|added|deleted")).select("id", F.explode(S.amendments(F.col("t"))).alias("a")).select("id", "a.*")
-    return found.dropDuplicates(["id", "operation", "number", "statute"])
-
-
 @CORE.query("mojibake_classes")
 def mojibake_classes(spark, sf):
     """Where the lost characters of a text are."""
