@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketry.llm.components import connected_components
-from docketry.session import checkpointed
+from docketry.session import checkpointed, shuffle_width
 
 #: Radius of the join and pivots of the partition; the pivots are a bounded sample, the forms with the smallest hashes.
 RADIUS, PIVOTS = 1, 32
@@ -304,8 +304,8 @@ def radius_links(forms: DataFrame, common: frozenset[str]) -> DataFrame:
         links = [p for p in cell_links(list(rows["form"]), list(rows["home"])) if plausible(*p, common)]
         return pd.DataFrame({"name_kind": [rows["name_kind"].iloc[0]] * len(links), "a": [a for a, _ in links], "b": [b for _, b in links]}, dtype=object)
 
-    placed = forms.select("name_kind", "form").distinct().mapInPandas(place, schema)
-    return placed.groupBy("name_kind", "cell").applyInPandas(join, "name_kind string, a string, b string").distinct()
+    placed = forms.select("name_kind", "form").distinct().repartition(shuffle_width(spark)).mapInPandas(place, schema)
+    return placed.repartition(shuffle_width(spark), "name_kind", "cell").groupBy("name_kind", "cell").applyInPandas(join, "name_kind string, a string, b string").distinct()
 
 
 def _short_keys(form: str, full: bool) -> list[str]:
@@ -329,7 +329,9 @@ def link_variants(names: DataFrame) -> DataFrame:
     themselves. An empty table gives no rows.
     """
     raw = names.where(F.col("name").isNotNull()).groupBy("name_kind", "name").agg(F.lit(1).alias("_one")).drop("_one")
-    read = checkpointed(read_names(raw))
+    # reading and placing are heavy for the bytes they take, so their parts are stated and not left to be merged by size
+    width = shuffle_width(names.sparkSession)
+    read = checkpointed(read_names(raw.repartition(width)))
     parts = read.where("kind = 'person'").select("name_kind", "form").distinct().select(F.explode(F.slice(F.split("form", " "), 1, 6)).alias("t"), (F.size(F.split("form", " "))).alias("n"))
     total = max(1, read.count())
     tokens = parts.where("length(t) > 2 and n > 1").groupBy("t").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= max(COMMON_LEAST, COMMON_SHARE * total))
