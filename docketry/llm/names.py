@@ -58,7 +58,7 @@ def _squeeze(w: str) -> str:
     w = SAME_NAME.get(w, w)
     w = w.replace("ee", "i").replace("oo", "u").replace("ou", "u").replace("q", "k").replace("kh", "k") if len(w) > 3 else w
     w = re.sub(r"(.)\1", r"\1", w)
-    w = w.replace("ai", "e") if len(w) > 4 else w
+    w = re.sub(r"ai(?=[^aeiouy])", "e", w) if len(w) > 4 else w
     w = re.sub(r"iya", "ia", w)
     return re.sub(r"(?<=[^aeiou])h$|(?<=a)h$", "", w) if len(w) > 4 else w
 
@@ -224,15 +224,25 @@ def read_names(names: DataFrame) -> DataFrame:
     return names.select("name_kind", "name").mapInPandas(read, "name_kind string, name string, " + FORM_SCHEMA)
 
 
-def level(form: str, common: frozenset[str]) -> str:
-    """A person's form with the surname last, also where it was typed first, and the given names levelled."""
+def level(form: str, common: dict[str, str], slips: dict[str, str]) -> str:
+    """A person's form with the surname last, also where it was typed first, and the given names levelled.
+
+    ``common`` has the given names that are common and their levels. A given name that is not common but one slip away
+    from common ones of one level, or from a known other spelling, is taken for that one. ``slips`` remembers what was found.
+    """
+    levels = set(common.values())
     t = form.split()
     lev = [_squeeze(x) for x in t]
-    for i, x in enumerate(t[:-1]):
-        if len(x) > 3 and lev[i] not in common and not any(abs(len(c) - len(lev[i])) <= 1 and distance(c, lev[i]) <= 1 for c in common):
-            near = next((y for y in SAME_NAME if abs(len(y) - len(x)) <= 1 and len(y) > 3 and distance(x, y) <= 1), None)
-            lev[i] = _squeeze(near) if near else lev[i]
-    if len(t) > 1 and len(t[0]) > 1 and lev[-1] in common and lev[0] not in common:
+    for i, x in enumerate(t):
+        if len(x) > 3 and lev[i] not in levels and (i < len(t) - 1):
+            if x not in slips:
+                if len(slips) > 200_000:
+                    slips.clear()
+                near = {common[c] for c in common if abs(len(c) - len(x)) <= 1 and distance(c, x) <= 1}
+                near = near or {_squeeze(y) for y in SAME_NAME if abs(len(y) - len(x)) <= 1 and len(y) > 3 and distance(x, y) <= 1}
+                slips[x] = near.pop() if len(near) == 1 else lev[i]
+            lev[i] = slips[x]
+    if len(t) > 1 and len(t[0]) > 1 and lev[-1] in levels and lev[0] not in levels:
         t, lev = t[1:] + t[:1], lev[1:] + lev[:1]
     return " ".join([*lev[:-1], t[-1]])
 
@@ -335,11 +345,13 @@ def link_variants(names: DataFrame) -> DataFrame:
     parts = read.where("kind = 'person'").select("name_kind", "form").distinct().select(F.explode(F.slice(F.split("form", " "), 1, 6)).alias("t"), (F.size(F.split("form", " "))).alias("n"))
     total = max(1, read.count())
     tokens = parts.where("length(t) > 2 and n > 1").groupBy("t").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= max(COMMON_LEAST, COMMON_SHARE * total))
-    common = frozenset(_squeeze(r["t"]) for r in tokens.collect())
+    given = {r["t"]: _squeeze(r["t"]) for r in tokens.collect()}
+    common = frozenset(given.values())
 
     @F.pandas_udf("string")
     def levelled(form: pd.Series, kind: pd.Series) -> pd.Series:
-        return pd.Series([level(f, common) if k == "person" else f for f, k in zip(form, kind)], dtype=object)
+        slips: dict[str, str] = {}
+        return pd.Series([level(f, given, slips) if k == "person" else f for f, k in zip(form, kind)], dtype=object)
 
     @F.pandas_udf("array<string>")
     def short_keys(form: pd.Series, full: pd.Series) -> pd.Series:
