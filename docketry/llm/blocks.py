@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 import zlib
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 
@@ -50,7 +51,10 @@ def leaf_tokens(text: str, path: tuple[str, ...]) -> tuple[list[int], int]:
         got = _short.get((text, path))
         if got is not None:
             return got
-    words = [_bucket(w) for w in _WORD.findall(_DIGIT.sub("0", text).lower())]
+    found = _WORD.findall(_DIGIT.sub("0", text).lower())
+    words = list(map(_cache.get, found))
+    if None in words:
+        words = list(map(_bucket, found))
     shape = (
         f"\x01len{len(text).bit_length()}",
         f"\x01n{min(len(words), 12)}",
@@ -103,7 +107,7 @@ class _Batch:
         self.steps, self.n = int(self.lens.max(initial=0)), len(docs)
         flat = [leaf for d in docs for leaf in d]
         sizes = np.array([len(ids) for ids, _ in flat])
-        self.ids = np.fromiter((i for ids, _ in flat for i in ids), np.int64, int(sizes.sum()))
+        self.ids = np.fromiter(chain.from_iterable(ids for ids, _ in flat), np.int64, int(sizes.sum()))
         self.starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         words = np.array([w for _, w in flat])
         inside = np.arange(len(self.ids)) - np.repeat(self.starts, sizes) < np.repeat(words, sizes)
@@ -210,7 +214,10 @@ def train(docs: list[list[tuple[list[int], int]]], labels: list[list[int]], epoc
             dxb, dwxb, dwhb, dbb = _unroll(d[:, :, None] * model.v[HIDDEN:], x, batch.mask, model.wx[1], model.wh[1], tb, True)
             dx = dxf + dxb + d[:, :, None] * model.u
             de = np.zeros_like(model.e)
-            np.add.at(de, batch.ids, np.repeat(dx[batch.pos, batch.doc], batch.sizes, axis=0) * batch.weight)
+            by_id = np.argsort(batch.ids, kind="stable")
+            rows = (np.repeat(dx[batch.pos, batch.doc], batch.sizes, axis=0) * batch.weight)[by_id]
+            used, first_row = np.unique(batch.ids[by_id], return_index=True)
+            de[used] = np.add.reduceat(rows, first_row, axis=0)
             flat = d.reshape(-1)
             dv = np.concatenate([hf.reshape(-1, HIDDEN).T @ flat, hb.reshape(-1, HIDDEN).T @ flat])
             grads = [de, dwxf, dwxb, dwhf, dwhb, dbf, dbb, dv, x.reshape(-1, DIM).T @ flat, np.array([flat.sum()], np.float32)]

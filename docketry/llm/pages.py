@@ -22,42 +22,48 @@ def page_leaves(html: str | None) -> tuple[list[tuple[str, tuple[str, ...], tupl
     leaves, hidden = [], []
     if not html:
         return leaves, ""
-    stack: list[tuple[str, int, str]] = []
+    stack: list[tuple[str, tuple[str, ...], tuple[int, ...]]] = []
+    path: tuple[str, ...] = ()
+    around: tuple[int, ...] = ()
     n, at, end = 0, 0, len(html)
+
+    def leaf(text: str) -> None:
+        if text and not text.isspace():
+            text = " ".join((unescape(text) if "&" in text else text).split())
+            if text:
+                leaves.append((text, path, around))
+
     for m in _TAG.finditer(html):
-        if m.start() < at:
+        begin = m.start()
+        if begin < at:
             continue
-        _leaf(html[at : m.start()], stack, leaves)
+        if begin > at:
+            leaf(html[at:begin])
         at = m.end()
-        tag = m.group(2)
+        closing, tag, rest = m.groups()
         if tag is None:
             continue
         tag = tag.lower()
-        if tag in HIDDEN and not m.group(1):
+        if closing:
+            for k in range(len(stack) - 1, -1, -1):
+                if stack[k][0] == tag:
+                    _, path, around = stack[k]
+                    del stack[k:]
+                    break
+        elif tag in HIDDEN:
             close = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
             if tag == "noscript":
                 hidden.append(html[at : close.start() if close else end])
             at = close.end() if close else end
-        elif m.group(1):
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][2] == tag:
-                    del stack[k:]
-                    break
-        elif tag not in _VOID and not m.group(3).endswith("/"):
+        elif tag not in _VOID and not rest.endswith("/"):
             n += 1
-            c = _CLASS.search(m.group(3)) if "class" in m.group(3) else None
-            stack.append((f"{tag}.{c.group(1)}" if c else tag, n, tag))
-    _leaf(html[at:], stack, leaves)
+            c = _CLASS.search(rest) if "class" in rest else None
+            stack.append((tag, path, around))
+            path, around = (*path, f"{tag}.{c.group(1)}" if c else tag), (*around, n)
+    leaf(html[at:])
     return leaves, " ".join(unescape(re.sub(r"<[^>]*>", " ", " ".join(hidden))).split())
 
 
-def _leaf(text: str, stack: list[tuple[str, int, str]], leaves: list) -> None:
-    if text and not text.isspace():
-        text = " ".join((unescape(text) if "&" in text else text).split())
-        if text:
-            leaves.append((text, tuple(s[0] for s in stack), tuple(s[1] for s in stack)))
-
-
 def text_leaves(text: str | None) -> list[tuple[int, str]]:
     """(line number from 1, line) of the lines that are not blank; blank lines are counted."""
     return [(i, " ".join(x.split())) for i, x in enumerate((text or "").split("\n"), 1) if x.strip()]
