@@ -3,30 +3,41 @@
 Words are corrected as messages through a noisy channel: a table of character confusions says what a word may have
 been read as, counts of words and word pairs over the whole corpus say what was likely written, and Viterbi's
 algorithm picks the best sequence of candidates along each line.
+
+The counts stay distributed. A record is read with the answers it has and asks for what it lacks; the questions are
+joined with the counts and the record is read again, until none has a question left.
 """
 
 from __future__ import annotations
 
+import json
 import math
 import re
+import zlib
 from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docketry.session import checkpointed
+
 # What a character is misread as, with the probability of that reading per character.
 CONFUSIONS = [
     ("e", "c", 0.004), ("o", "0", 0.003), ("i", "!", 0.003), ("n", "ri", 0.003), ("d", "cl", 0.003), ("s", "5", 0.002), ("l", "1", 0.002), ("u", "ii", 0.003), ("h", "b", 0.003),
     ("m", "rn", 0.003), ("g", "9", 0.002), ("w", "vv", 0.002), ("li", "h", 0.002), ("tt", "lt", 0.001), ("fi", "ﬁ", 0.01), ("fl", "ﬂ", 0.01), ("b", "8", 0.001), ("a", "@", 0.001), ("i", "|", 0.001),
 ]
 
-#: A word is kept in the model from this share of all words (or pairs) on, which bounds the model, and from this count on.
-WORD_SHARE, PAIR_SHARE, LEAST = 5e-7, 1e-6, 4
+#: A word or pair counts from this number of occurrences on, however large the corpus is.
+LEAST = 4
 #: A word that is itself common may still be a reading of one that is this many times as common.
 RATIO = 25.0
 _MOST_SUBSTITUTIONS = 3
+#: Bits of the filter that tells words without a candidate; a fuller filter costs questions, not results.
+_FILTER_BITS, _FILTER_PART = 1 << 26, 1 << 16
 
 HYPHENS = "-­¬‐"
 _TOKEN = re.compile(r"[^\W_](?:[^\s.,;:()\[\]\"“”—–\\/_]*[^\s.,;:()\[\]\"“”?—–\\/_])?")
@@ -59,12 +70,107 @@ def words_of(text: str) -> list[str]:
     return text.lower().translate(_BREAKS).split()
 
 
-def count_language(texts: DataFrame) -> Language:
-    """Counts over all texts (column ``text``); each task adds its own up before anything is shuffled.
+def spellings(text: str, words: Iterable[str]) -> set[str]:
+    """All forms in which words of the text are looked up: its ``words`` and the tokens that a line is decoded by."""
+    out = set(words)
+    for w in [w for w in out if not w[0].isalnum()]:
+        out.update(_TOKEN.findall(w))
+    if "?" in text:
+        out.update(m.lower() for m in _TOKEN.findall(text))
+    return out
+
+
+def _skeleton(word: Column) -> Column:
+    """A key that is the same for a word and all its readings: both sides of every confusion spelled out alike."""
+    out = F.translate(word, "c0!|51t9@8b", "eoiisllgahh")
+    for char, parts in (("m", "rri"), ("n", "ri"), ("d", "el"), ("u", "ii"), ("h", "li"), ("w", "vv"), ("ﬁ", "fi"), ("ﬂ", "fl")):
+        out = F.replace(out, F.lit(char), F.lit(parts))
+    return out
 
-    Words below WORD_SHARE and pairs below PAIR_SHARE of all are left out of the model: at most 1 / share of them can
-    be above, however large the corpus is.
-    """
+
+def _readable(w: str) -> bool:
+    """Whether the word is long enough to be a misreading."""
+    letters = sum(c.isalpha() for c in w)
+    return len(w) >= 3 and letters >= 2 or len(w) == 2 and letters == 1
+
+
+class _Looked:
+    """Counts read one by one where they lie."""
+
+    def __init__(self, grams: DataFrame) -> None:
+        self.grams = grams
+
+    def __getitem__(self, key: str | tuple[str, str]) -> int:
+        a, b = key if isinstance(key, tuple) else (key, None)
+        got = self.grams.where((F.col("a") == a) & F.col("b").eqNullSafe(F.lit(b)) & (F.col("n") >= LEAST)).first()
+        if got is None:
+            raise KeyError(key)
+        return got["n"]
+
+
+class CorpusLanguage:
+    """Counts of words and word pairs of the corpus as a table (a, b, n), b null for words; words below LEAST are in it as suspects only."""
+
+    def __init__(self, grams: DataFrame) -> None:
+        self.grams = grams
+        self.total = max(int(grams.where((F.col("n") >= LEAST) & F.col("b").isNull()).agg(F.sum("n")).first()[0] or 0), 1)
+        self.words = self.pairs = _Looked(grams)
+
+    def _counted(self) -> DataFrame:
+        """(a, n) of all spellings, n 0 below LEAST."""
+        return self.grams.where("b is null").select("a", F.when(F.col("n") >= LEAST, F.col("n")).otherwise(0).alias("n"))
+
+    def _mates(self, own: DataFrame, how: str) -> DataFrame:
+        """The words (a, n) with those of the corpus that could have been written (y, m)."""
+        written = self._counted().where((F.col("n") > 0) & (F.col("a").rlike(r"^\p{L}+$") | F.contains("a", F.lit("-")))).select(F.col("a").alias("y"), F.col("n").alias("m"), _skeleton(F.col("a")).alias("_s"))
+        own = own.where(F.length("a") >= 2).withColumn("_s", _skeleton(F.col("a")))
+        common = F.col("m") >= RATIO * F.col("n") * F.when(F.length("a") > 2, 1).otherwise(20)
+        return own.join(written, (own["_s"] == written["_s"]) & (F.col("a") != F.col("y")) & common, how)
+
+    def suspect_filter(self) -> bytes:
+        """A filter of fixed size that holds every spelling of the corpus with a mate."""
+        at = self._mates(self._counted(), "left_semi").select((F.crc32(F.encode("a", "UTF-8")) % _FILTER_BITS).alias("p"))
+        parts = at.groupBy((F.col("p") / _FILTER_PART).cast("int").alias("part")).agg(F.collect_set((F.col("p") % _FILTER_PART).cast("int")).alias("bits"))
+
+        def pack(batches):
+            for batch in batches:
+                rows = []
+                for part, bits in zip(batch["part"], batch["bits"]):
+                    held = bytearray(_FILTER_PART // 8)
+                    for p in bits:
+                        held[p >> 3] |= 1 << (p & 7)
+                    rows.append((part, bytes(held)))
+                yield pd.DataFrame(rows, columns=["part", "held"])
+
+        out = bytearray(_FILTER_BITS // 8)
+        for r in parts.mapInPandas(pack, "part int, held binary").toLocalIterator():
+            out[r["part"] * _FILTER_PART // 8 : (r["part"] + 1) * _FILTER_PART // 8] = r["held"]
+        return bytes(out)
+
+    def answers(self, questions: DataFrame) -> DataFrame:
+        """(rid, answers) to questions (rid, asked), each a word or a pair with a blank between."""
+        asked = questions.select("rid", F.split("asked", " ")[0].alias("a"), F.get(F.split("asked", " "), F.lit(1)).alias("b"))
+        words = asked.where("b is null").select("a").distinct().join(self._counted(), "a", "left").select("a", F.coalesce("n", F.lit(0)).alias("n"))
+        words = checkpointed(words)
+        mates = self._mates(words, "inner").groupBy("a", "n").agg(F.collect_list("y").alias("y"), F.collect_list("m").alias("m"))
+
+        def choose(batches):
+            for batch in batches:
+                rows = []
+                for a, n, y, m in zip(batch["a"], batch["n"], batch["y"], batch["m"]):
+                    known = dict(zip(y, map(int, m)))
+                    rows.append((a, json.dumps([(x, c, known[x]) for x, c in _readings(a, known, int(n))])))
+                yield pd.DataFrame(rows, columns=["a", "found"])
+
+        words = words.join(mates.mapInPandas(choose, "a string, found string"), "a", "left")
+        one = asked.where("b is null").select("rid", "a").join(words, "a").select("rid", F.col("a").alias("asked"), "n", "found")
+        pairs = self.grams.where("b is not null")
+        two = asked.where("b is not null").join(pairs, ["a", "b"], "left").select("rid", F.concat_ws(" ", "a", "b").alias("asked"), F.coalesce("n", F.lit(0)).alias("n"), F.lit(None).cast("string").alias("found"))
+        return one.unionByName(two).groupBy("rid").agg(F.collect_list(F.to_json(F.struct("asked", "n", "found"))).alias("answers"))
+
+
+def count_language(texts: DataFrame) -> CorpusLanguage:
+    """Counts over all texts (column ``text``); each task adds its own up before anything is shuffled."""
 
     def count(batches):
         for batch in batches:
@@ -75,21 +181,40 @@ def count_language(texts: DataFrame) -> Language:
                     w = words_of(t)
                     one.update(w)
                     two.update(zip(w, w[1:]))
+                    if "?" in t:
+                        one.update(dict.fromkeys(spellings(t, ()), 0))
+            one.update(dict.fromkeys(spellings("", one), 0))
             yield pd.DataFrame({"a": [*one, *(a for a, _ in two)], "b": [None] * len(one) + [b for _, b in two], "n": [*one.values(), *two.values()]})
 
     grams = texts.where(F.col("text").isNotNull()).select("text").mapInPandas(count, "a string, b string, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
-    kept = grams.withColumn("_all", F.lit(None)).drop("_all").where(F.col("n") >= LEAST).persist()
-    total = int(kept.where("b is null").agg(F.sum("n")).first()[0] or 0)
-    strong = kept.where(F.col("n") >= F.when(F.col("b").isNull(), F.lit(WORD_SHARE * total)).otherwise(F.lit(PAIR_SHARE * total)))
-    words: dict[str, int] = {}
-    pairs: dict[tuple[str, str], int] = {}
-    for a, b, n in strong.collect():
-        if b is None:
-            words[a] = n
-        else:
-            pairs[(a, b)] = n
-    kept.unpersist()
-    return Language(words, pairs, max(total, 1))
+    return CorpusLanguage(checkpointed(grams.where((F.col("n") >= LEAST) | F.col("b").isNull())))
+
+
+def _readings(w: str, known: dict[str, int], own: int) -> list[tuple[str, float]]:
+    """[(word that may have been written, log-probability of this reading of it)] among the ``known`` words; ``own`` is the word's own count."""
+    found: dict[str, float] = {}
+    if not _readable(w):
+        return []
+    frontier = {w: 0.0}
+    for _ in range(_MOST_SUBSTITUTIONS):
+        following: dict[str, float] = {}
+        for x, cost in frontier.items():
+            for written, read, p in CONFUSIONS:
+                at = x.find(read)
+                while at >= 0:
+                    y = x[:at] + written + x[at + len(read) :]
+                    c = cost + math.log(p)
+                    if c > following.get(y, -1e9) and y != w:
+                        following[y] = c
+                    at = x.find(read, at + 1)
+        for y, c in following.items():
+            n = known.get(y, 0)
+            if n >= LEAST and n >= RATIO * own * (1 if len(w) > 2 else 20) and y.isalpha() | ("-" in y) and c > found.get(y, -1e9):
+                found[y] = c
+        if len(following) > 400:
+            break
+        frontier = following
+    return sorted(found.items(), key=lambda x: (-x[1], x[0]))[:8]
 
 
 class Corrector:
@@ -112,30 +237,7 @@ class Corrector:
             return got
         if len(self.seen) > 400_000:
             self.seen.clear()
-        own = self.lm.words.get(w, 0)
-        found: dict[str, float] = {}
-        letters = sum(c.isalpha() for c in w)
-        if len(w) >= 3 and letters >= 2 or len(w) == 2 and letters == 1:
-            frontier = {w: 0.0}
-            for _ in range(_MOST_SUBSTITUTIONS):
-                following: dict[str, float] = {}
-                for x, cost in frontier.items():
-                    for written, read, p in CONFUSIONS:
-                        at = x.find(read)
-                        while at >= 0:
-                            y = x[:at] + written + x[at + len(read) :]
-                            c = cost + math.log(p)
-                            if c > following.get(y, -1e9) and y != w:
-                                following[y] = c
-                            at = x.find(read, at + 1)
-                for y, c in following.items():
-                    n = self.lm.words.get(y, 0)
-                    if n >= LEAST and n >= RATIO * own * (1 if len(w) > 2 else 20) and y.isalpha() | ("-" in y) and c > found.get(y, -1e9):
-                        found[y] = c
-                if len(following) > 400:
-                    break
-                frontier = following
-        got = self.seen[w] = [(w, math.log(0.97)), *sorted(found.items(), key=lambda x: (-x[1], x[0]))[:8]]
+        got = self.seen[w] = [(w, math.log(0.97)), *_readings(w, self.lm.words, self.lm.words.get(w, 0))]
         return got
 
     def suspects(self, text: str) -> bool:
@@ -159,6 +261,10 @@ class Corrector:
         for t, choice in enumerate(options):
             row, ptr = [], []
             for word, channel in choice:
+                if len(choice) == 1 and (t == 0 or len(options[t - 1]) == 1):  # no choice to weigh
+                    row.append(scores[t - 1][0] if t else 0.0)
+                    ptr.append(0)
+                    continue
                 base = self._log_word(word)
                 if t == 0:
                     row.append(base + channel)
@@ -182,6 +288,69 @@ class Corrector:
         return out[::-1]
 
 
+class _Answers(dict):
+    """Counts that a record was told; a count it was not told is noted as a question and taken as none."""
+
+    def __init__(self, asked: set[str]) -> None:
+        super().__init__()
+        self.asked = asked
+
+    def get(self, key, default=None):
+        if key not in self:
+            self.asked.add(" ".join(key) if isinstance(key, tuple) else key)
+        return super().get(key, default) or default
+
+
+class RecordCorrector(Corrector):
+    """Decodes one record after another by the answers that each has; ``asked`` holds what the record at hand lacks.
+
+    ``held`` is the filter of the spellings of the corpus with a candidate.
+    """
+
+    def __init__(self, total: int, held: bytes) -> None:
+        super().__init__(Language({}, {}, total))
+        self.held = held
+
+    def begin(self, text: str | None, answers: Iterable[str]) -> None:
+        self.text, self.asked, self.seen, self._own = text, set(), {}, None
+        self.lm.words, self.lm.pairs = _Answers(self.asked), _Answers(self.asked)
+        for answer in map(json.loads, answers):
+            a, _, b = answer["asked"].partition(" ")
+            if b:
+                self.lm.pairs[a, b] = answer["n"]
+                continue
+            self.lm.words[a] = answer["n"]
+            found = json.loads(answer.get("found") or "[]")
+            self.seen[a] = [(a, math.log(0.97)), *((y, c) for y, c, _ in found)]
+            for y, _, n in found:
+                self.lm.words[y] = n
+
+    def _unheld(self, w: str) -> bool:
+        p = zlib.crc32(w.encode()) % _FILTER_BITS
+        return not self.held[p >> 3] >> (p & 7) & 1
+
+    def candidates(self, w: str) -> list[tuple[str, float]]:
+        got = self.seen.get(w)
+        if got is not None:
+            return got
+        if w not in self.plain and _readable(w):
+            if self._own is None:
+                self._own = spellings(self.text, words_of(self.text))
+            if w not in self._own or not self._unheld(w):
+                self.asked.add(w)
+        return [(w, math.log(0.97))]
+
+    def suspects(self, text: str) -> bool:
+        words = set(words_of(text)) - self.plain
+        if text is self.text:
+            if len(self.plain) > 1_000_000:
+                self.plain.clear()
+            clear = {w for w in words if not _readable(w) or self._unheld(w)}
+            self.plain |= clear
+            words -= clear
+        return sum(len(self.candidates(w)) > 1 for w in words) > 0
+
+
 def _prose(line: str) -> bool:
     words = line.split()
     return len(words) >= 5 and sum(w[:1].islower() for w in words) * 2 >= len(words)
@@ -310,23 +479,36 @@ def _paragraphs(lines: list[str]) -> str:
     return "\n".join(out)
 
 
-def scan_noise(records: DataFrame, language: Language, captions: list[str], repaired: bool = False) -> DataFrame:
+def scan_noise(records: DataFrame, language: CorpusLanguage, captions: list[str], repaired: bool = False) -> DataFrame:
     """(source_table, record_id, noise_kind) of the records (source_table, record_id, text), or with ``repaired``
     (source_table, record_id, repaired_text) of the records with noise. Tables in ``captions`` open with a caption."""
-    shared = records.sparkSession.sparkContext.broadcast(language)
-    opening = frozenset(captions)
+    held = records.sparkSession.sparkContext.broadcast(language.suspect_filter())
+    opening, total = frozenset(captions), language.total
+    columns = ["source_table", "record_id", "found", "text", "answers", "asked"]
 
     def read(batches):
-        corrector = Corrector(shared.value)
+        corrector = RecordCorrector(total, held.value)
         for batch in batches:
             rows = []
-            for table, record, text in zip(batch["source_table"], batch["record_id"], batch["text"]):
+            for table, record, text, answers in zip(batch["source_table"], batch["record_id"], batch["text"], batch["answers"]):
+                corrector.begin(text, answers)
                 kinds, clean = analyse(text, corrector, table in opening)
-                if repaired:
-                    rows += [(table, record, clean)] if kinds else []
+                if corrector.asked:
+                    rows.append((table, record, None, text, list(answers), sorted(corrector.asked)))
+                elif repaired:
+                    rows += [(table, record, clean, None, None, None)] if kinds else []
                 else:
-                    rows += [(table, record, k) for k in sorted(kinds)]
-            yield pd.DataFrame(rows, columns=["source_table", "record_id", "repaired_text" if repaired else "noise_kind"])
-
-    schema = "source_table string, record_id string, " + ("repaired_text string" if repaired else "noise_kind string")
-    return records.where(F.length("text") > 0).select("source_table", "record_id", "text").mapInPandas(read, schema)
+                    rows += [(table, record, k, None, None, None) for k in sorted(kinds)]
+            yield pd.DataFrame(rows, columns=columns)
+
+    schema = "source_table string, record_id string, found string, text string, answers array<string>, asked array<string>"
+    todo = records.where(F.length("text") > 0).select("source_table", "record_id", "text", F.array().cast("array<string>").alias("answers"))
+    done = []
+    while True:
+        out = checkpointed(todo.mapInPandas(read, schema))
+        done.append(out.where("asked is null").select("source_table", "record_id", F.col("found").alias("repaired_text" if repaired else "noise_kind")))
+        left = out.where("asked is not null").withColumn("rid", F.monotonically_increasing_id())
+        if left.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        told = language.answers(left.select("rid", F.explode("asked").alias("asked"))).withColumnRenamed("answers", "told")
+        todo = left.join(told, "rid").select("source_table", "record_id", "text", F.concat("answers", "told").alias("answers"))

@@ -60,3 +60,13 @@ def test_queries(spark):
     assert fixed["bad"] == SENTENCE and fixed["cut"] == "ORDER\n" + SENTENCE
     none = df.limit(0)
     assert scan_noise(none, count_language(none), []).count() == 0
+
+
+def test_a_word_counts_however_large_the_corpus_is(spark):
+    rows = [("judgment", f"j{i}", "the kembazodani paid the fee") for i in range(5)] + [("judgment", "bad", "the kem8azodani paid the fee"), ("judgment", "cut", "the kem8azo-\ndani paid the fee")]
+    few = spark.createDataFrame(rows, "source_table string, record_id string, text string")
+    filler = spark.range(1000, numPartitions=4).selectExpr("repeat('the ', 12000) AS text")
+    language = count_language(few.select("text").unionByName(filler))
+    assert language.words["kembazodani"] == 5 and language.words["the"] > 12_000_000
+    got = {(r["record_id"], r["repaired_text"]) for r in scan_noise(few, language, ["judgment"], repaired=True).collect()}
+    assert got == {("bad", "the kembazodani paid the fee"), ("cut", "the kembazodani paid the fee")}
