@@ -23,6 +23,12 @@ def citation_keys(spark, sf):
     return j.select("id", F.concat_ws(":", parts[0], parts[1], seat, parts[3]).alias("k"))
 
 
+@CORE.query("citation_keys_all")
+def citation_keys_all(spark, sf):
+    """Keys of the canonical citations of all judgments, of every reporter; null where a judgment has no sound citation."""
+    return table(spark, sf, "judgment").select("id", "canonical_citation", citation_key(F.col("canonical_citation")).alias("k"))
+
+
 @CORE.query("citation_mentions", f"SELECT id, unnest(list_distinct(regexp_extract_all(full_text, '{L.CITATION_MENTION}', 1))) AS citation FROM judgment")
 def citation_mentions(spark, sf):
     return table(spark, sf, "judgment").select("id", F.explode(L.mentions(F.col("full_text"), L.CITATION_MENTION)).alias("citation"))

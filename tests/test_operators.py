@@ -102,3 +102,22 @@ def test_cosine_against_brute_force(spark):
         want = sorted((-sims[q, i], i) for i in range(60) if i != q)[:3]
         assert sorted((-s, i) for s, i in got[q]) == want
     assert cosine_topk(df.limit(0), df, "id", "e", 3).count() == 0
+
+
+def test_citation_keys_of_all_reporters(spark, tmp_path):
+    import re
+
+    from docketry.plans.catalog import CORE
+
+    cites = ["PLD 2001 SC 12", "PLD 1999 Lahore 7", "2004 SCMR 88", "2010 PCrLJ 009", "2011 CLC 3", "2012 CLD 4", "1998 MLD 5", "1997 PLC 6", "2003 PLJ 7", "2005 PTCL 8", "2006 PTD 9", "2007 YLR 10", "no citation", None]
+    spark.createDataFrame([(f"j{i}", c) for i, c in enumerate(cites)], "id string, canonical_citation string").write.parquet(f"{tmp_path}/judgment.parquet")
+
+    def key(cite):
+        m = re.fullmatch(r"PLD (\d{4}) (\w+) (\d+)", cite or "")
+        if m:
+            return f"PLD:{m[1]}:{m[2].upper()}:{int(m[3])}"
+        m = re.fullmatch(r"(\d{4}) (\w+) (\d+)", cite or "")
+        return f"{m[2].upper()}:{m[1]}::{int(m[3])}" if m else None
+
+    got = {r["id"]: r["k"] for r in CORE.queries["citation_keys_all"](spark, str(tmp_path)).collect()}
+    assert got == {f"j{i}": key(c) for i, c in enumerate(cites)}
