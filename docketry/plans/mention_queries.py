@@ -79,6 +79,19 @@ def instrument_relations(spark, sf):
     return resolve_unique(i, "named", table(spark, sf, "statute").select(F.col("id").alias("sid"), "name"), ["name"], "sid")
 
 
+@CORE.query("amendment_clauses")
+def amendment_clauses(spark, sf):
+    """Amending clauses of instruments and sections: operation, section and statute, with the place of the first of equal ones."""
+
+    def of(name, text):
+        return table(spark, sf, name).select(F.lit(name).alias("source_table"), "id", F.col(text).alias("t"))
+
+    texts = of("instrument", "full_text").unionByName(of("statute_section_version", "section_text"))
+    # every operation has one of these words in it
+    found = texts.where(F.col("t").rlike("(?i)inserted|substituted|omitted|repealed|added|deleted")).select("source_table", "id", F.explode(S.amendments(F.col("t"))).alias("a")).select("source_table", "id", "a.*")
+    return found.groupBy("source_table", "id", "operation", "number", "statute").agg(F.min("start").alias("start"))
+
+
 @CORE.query("mojibake_classes")
 def mojibake_classes(spark, sf):
     """Where the lost characters of a text are."""

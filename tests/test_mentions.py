@@ -59,3 +59,13 @@ def test_titles(spark):
     assert spark.createDataFrame([("1lyas Ajma1 of 1958",)], "n string").select(N.ocr_name(F.col("n"))).first()[0] == "llyas Ajmal of 1958"
     got = spark.createDataFrame([("a b", "a  b"), (None, "x")], "a string, b string").select(N.similarity(F.col("a"), F.col("b"))).collect()
     assert [r[0] for r in got] == [1.0, 0.0]
+
+
+def test_amendment_clauses_of_both_tables(spark, tmp_path):
+    from docketry.plans.catalog import CORE
+
+    text = "In the Sales Act, 1990, section 5 shall be substituted; section 6 shall be omitted.\nSection 5 shall be substituted."
+    spark.createDataFrame([("i1", text), ("i2", "nothing here"), ("i3", None)], "id string, full_text string").write.parquet(f"{tmp_path}/instrument.parquet")
+    spark.createDataFrame([("v1", "Section 9 is hereby repealed.")], "id string, section_text string").write.parquet(f"{tmp_path}/statute_section_version.parquet")
+    got = {(r["source_table"], r["id"], r["operation"], r["number"]) for r in CORE.queries["amendment_clauses"](spark, str(tmp_path)).collect()}
+    assert got == {("instrument", "i1", "substitute", "5"), ("instrument", "i1", "omit", "6"), ("statute_section_version", "v1", "repeal", "9")}
