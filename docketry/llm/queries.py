@@ -12,7 +12,7 @@ from docketry.llm.names import link_variants, variant_pairs
 from docketry.llm.packing import pack
 from docketry.llm.tokens import token_count
 from docketry.llm.scans import count_language, scan_noise
-from docketry.llm.textstats import text_stats
+from docketry.llm.textstats import learn_profiles, text_stats
 from docketry.llm.web import fit_models, labelled_pieces, main_text, residue_records, site_pieces
 from docketry.plans.registry import Registry
 from docketry.sources.tables import table
@@ -59,18 +59,30 @@ def _function_words(spark: SparkSession, sf_dir: str) -> list[str]:
     return sorted({r["word"] for r in table(spark, sf_dir, "common_word").select("word").distinct().collect() if r["word"]})
 
 
+def _languages(spark: SparkSession, sf_dir: str) -> dict[str, list[str]]:
+    """The function words of each language; a table of fixed size."""
+    out: dict[str, list[str]] = {}
+    for r in table(spark, sf_dir, "common_word").select("lang", "word").distinct().orderBy("lang", "word").collect():
+        if r["lang"] and r["word"]:
+            out.setdefault(r["lang"], []).append(r["word"])
+    return out
+
+
+def _profiled(spark: SparkSession, sf_dir: str, verdicts: list[str] | None) -> DataFrame:
+    docs, languages = table(spark, sf_dir, "documents").select("doc_id", "text"), _languages(spark, sf_dir)
+    return text_stats(docs, languages, learn_profiles(docs, languages), verdicts)
+
+
 @LLM.query("p10_stats")
 def p10_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics and verdict of every document."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", text_stats(F.col("text"), _function_words(spark, sf_dir)).alias("s"))
-    return docs.select("doc_id", "s.*")
+    return _profiled(spark, sf_dir, None)
 
 
 @LLM.query("p10_found")
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that are mostly no natural prose."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", text_stats(F.col("text"), _function_words(spark, sf_dir)).getField("text_class").alias("text_class"))
-    return docs.where(F.col("text_class") != "prose")
+    return _profiled(spark, sf_dir, ["junk", "list", "table"])
 
 
 def _web_records(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
