@@ -30,11 +30,11 @@ def encoder(path: str = TOKENIZER):
 
 
 def token_count(text: Column, path: str = TOKENIZER) -> Column:
-    """Tokens of the whole text; 0 for null and empty."""
+    """Tokens of the whole text; 0 for null and empty. Marked as not deterministic, so that no filter takes a second copy of it along."""
 
     @F.pandas_udf("bigint")
     def count(texts: pd.Series) -> pd.Series:
         e = encoder(path)
         return texts.map(lambda t: len(e.encode_ordinary(t)) if t else 0).astype("int64")
 
-    return count(text)
+    return count.asNondeterministic()(text)
