@@ -29,7 +29,6 @@ def _bucket(token: str) -> int:
 
 
 _paths: dict[tuple[str, ...], list[int]] = {}
-_short: dict[tuple[str, tuple[str, ...]], tuple[list[int], int]] = {}
 _CONTAINERS = frozenset(("nav", "aside", "footer", "header", "form", "main", "ul", "table", "center", "small", "article"))
 
 
@@ -44,28 +43,32 @@ def _path_buckets(path: tuple[str, ...]) -> list[int]:
     return got
 
 
+_pieces: dict[str, list[int]] = {}
+
+
+def _word_buckets(piece: str) -> list[int]:
+    """Buckets of the words of a piece of text without white space."""
+    got = [_bucket(w) for w in _WORD.findall(_DIGIT.sub("0", piece).lower())]
+    if len(_pieces) > 400_000:
+        _pieces.clear()
+    if len(piece) <= 40:
+        _pieces[piece] = got
+    return got
+
+
 def leaf_tokens(text: str, path: tuple[str, ...]) -> tuple[list[int], int]:
     """(buckets, how many of them are words): all words of the leaf, then its tag path and shape."""
-    brief = len(text) <= 60
-    if brief:
-        got = _short.get((text, path))
-        if got is not None:
-            return got
-    found = _WORD.findall(_DIGIT.sub("0", text).lower())
-    words = list(map(_cache.get, found))
-    if None in words:
-        words = list(map(_bucket, found))
+    words: list[int] = []
+    get = _pieces.get
+    for piece in text.split():
+        got = get(piece)
+        words += _word_buckets(piece) if got is None else got
     shape = (
         f"\x01len{len(text).bit_length()}",
         f"\x01n{min(len(words), 12)}",
         f"\x01{text.isupper():d}{text[:1].isupper():d}{text[-1:] in '.:;۔':d}{'|' in text:d}",
     )
-    got = (words + [_bucket(x) for x in shape] + _path_buckets(path), len(words))
-    if brief:
-        if len(_short) > 200_000:
-            _short.clear()
-        _short[(text, path)] = got
-    return got
+    return words + [_bucket(x) for x in shape] + _path_buckets(path), len(words)
 
 
 @dataclass
@@ -168,19 +171,78 @@ def _unroll(dout, x, mask, wx, wh, trace, backward):
     return (flat @ wx.T).reshape(x.shape), x.reshape(steps * n, -1).T @ flat, dwh, flat.sum(0)
 
 
-def probabilities(model: BlockModel, docs: list[list[tuple[list[int], int]]], width: int = 192) -> list[np.ndarray]:
-    """For each document the probability of each leaf to be site matter; documents of like length run together."""
+class LeafVectors:
+    """Rows of what the network reads of a leaf: its vector times the input weights of both directions and times the
+    readout. They depend on text and tag path alone, so leaves that were met before are looked up."""
+
+    #: Leaves that are kept, and the most characters of one; longer ones seldom come again. Only speed depends on it.
+    MOST, MOST_CHARS = 60_000, 100
+
+    def __init__(self, model: BlockModel) -> None:
+        self.model = model
+        self.weights = np.concatenate([*model.wx, model.u[:, None]], axis=1)
+        self.bias = np.concatenate([*model.b, model.c])
+        self.begin()
+
+    def begin(self) -> None:
+        self.at: dict[tuple[str, tuple[str, ...]], int] = {}
+        self.rows = np.zeros((4096, self.weights.shape[1]), np.float32)
+
+    def of(self, leaves: list[tuple[str, tuple[str, ...]]]) -> np.ndarray:
+        """The rows of leaves (text, tag path)."""
+        if len(self.at) > self.MOST:
+            self.begin()
+        places = list(map(self.at.get, leaves))
+        if None in places:
+            fresh = list(dict.fromkeys(leaf for leaf, p in zip(leaves, places) if p is None))
+            fresh.sort(key=lambda leaf: len(leaf[0]) > self.MOST_CHARS)  # those that are kept come first
+            kept = sum(len(leaf[0]) <= self.MOST_CHARS for leaf in fresh)
+            batch = _Batch([[leaf_tokens(x, path) for x, path in fresh]])
+            first, end = len(self.at), len(self.at) + len(fresh)
+            while end > len(self.rows):
+                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+            self.rows[first:end] = batch.inputs(self.model.e)[:, 0] @ self.weights + self.bias
+            now = dict(zip(fresh, range(first, end)))
+            places = [now[leaf] if p is None else p for leaf, p in zip(leaves, places)]
+            self.at.update(zip(fresh[:kept], range(first, first + kept)))
+        return self.rows[places]
+
+
+def _read(pre: np.ndarray, lens: np.ndarray, wh: np.ndarray, backward: bool) -> np.ndarray:
+    """States of one direction over documents sorted by falling length: at each step only the documents that reach it."""
+    steps, n, _ = pre.shape
+    live = np.searchsorted(-lens, -np.arange(steps), side="left")
+    h, c = np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32)
+    out = np.zeros((steps, n, HIDDEN), np.float32)
+    for t in range(steps - 1, -1, -1) if backward else range(steps):
+        k = live[t]
+        z = pre[t, :k] + h[:k] @ wh
+        gates = _sigmoid(z[:, : 3 * HIDDEN])
+        c[:k] = gates[:, HIDDEN : 2 * HIDDEN] * c[:k] + gates[:, :HIDDEN] * np.tanh(z[:, 3 * HIDDEN :])
+        h[:k] = gates[:, 2 * HIDDEN :] * np.tanh(c[:k])
+        out[t, :k] = h[:k]
+    return out
+
+
+def probabilities(vectors: LeafVectors, docs: list[list[tuple[str, tuple[str, ...]]]], cells: int = 24_000) -> list[np.ndarray]:
+    """For each document of leaves (text, tag path) the probability of each leaf to be site matter; documents of like length run together."""
     out: list = [np.zeros(0, np.float32)] * len(docs)
-    order = sorted((k for k, d in enumerate(docs) if d), key=lambda k: len(docs[k]))
-    for at in range(0, len(order), width):
-        part = order[at : at + width]
-        batch = _Batch([docs[k] for k in part])
-        x = batch.inputs(model.e)
-        hf, _ = _run(x, batch.mask, model.wx[0], model.wh[0], model.b[0], False, False)
-        hb, _ = _run(x, batch.mask, model.wx[1], model.wh[1], model.b[1], True, False)
-        p = _sigmoid(hf @ model.v[:HIDDEN] + hb @ model.v[HIDDEN:] + x @ model.u + model.c)
+    order = sorted((k for k, d in enumerate(docs) if d), key=lambda k: -len(docs[k]))
+    model, at, gates = vectors.model, 0, 4 * HIDDEN
+    while at < len(order):
+        part = order[at : at + max(1, min(512, cells // len(docs[order[at]])))]
+        at += len(part)
+        lens = np.array([len(docs[k]) for k in part])
+        rows = vectors.of([leaf for k in part for leaf in docs[k]])
+        doc = np.repeat(np.arange(len(part)), lens)
+        pos = np.arange(len(rows)) - np.repeat(np.cumsum(lens) - lens, lens)
+        pre = np.zeros((int(lens[0]), len(part), 2 * gates + 1), np.float32)
+        pre[pos, doc] = rows
+        hf = _read(pre[:, :, :gates], lens, model.wh[0], False)
+        hb = _read(pre[:, :, gates : 2 * gates], lens, model.wh[1], True)
+        p = _sigmoid(hf @ model.v[:HIDDEN] + hb @ model.v[HIDDEN:] + pre[:, :, -1])
         for j, k in enumerate(part):
-            out[k] = p[: len(docs[k]), j]
+            out[k] = p[: lens[j], j]
     return out
 
 

@@ -6,6 +6,7 @@ They are training labels alone: the models learn from them, and it is the models
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 MAIN, SITE, RESIDUE = 0, 1, 2
 
@@ -44,8 +45,24 @@ FILLER = re.compile(
 )
 
 
+# What a leaf must have in it for one of the patterns to be worth a search; plain strings are found much faster.
+_SIGNS = [
+    (TEMPLATE, ["xxxx", "_____", "{", "[", "%", "@@", "#", "<", "«", "__"]),
+    (ERRORS, ["error", "not found", "unavailable", "denied", "forbidden", "blocked", "timed out", "too many", "went wrong", "maintenance", "no longer", "try again", "come back", "object reference", "trace:", "incident ", "help desk",
+              "wait a", "check the", "return to", "expired", "gateway", "could not be", "exception", "restricted to", "taken down", "cannot be shown", "failed to", "not available", "start page", "code 4", "code 50", "in line ",
+              "at the moment", "oh no", "oops", "request failed", "did not respond", "ray "]),
+    (SCRIPTS, ["java", "without js", "script", "switch it", "turn on", "loading", "enable js", "ad blocker", "browser", "press refresh", "change the setting"]),
+    (FILLER, ["lorem", "ipsum", "placeholder", "dummy", "sample ", "asdf", "qwer", "test", "coming soon", "goes here", "left ", "theme", "body copy", "do not publish", "example ", "write the", "replace with", "edit or", "page design",
+              "checking the", "remove before", "default ", "not for", "to be ", "goes in", "filled in"]),
+]
+
+
+@lru_cache(maxsize=200_000)
 def is_residue(leaf: str) -> bool:
-    return any(r.search(leaf) for r in (TEMPLATE, ERRORS, SCRIPTS, FILLER))
+    low = leaf.lower()
+    if low[:1] in ("4", "5") and ERRORS.search(leaf):
+        return True
+    return any(any(x in low for x in signs) and pattern.search(leaf) for pattern, signs in _SIGNS)
 
 
 def prose_like(leaf: str, common: frozenset[str]) -> bool:
