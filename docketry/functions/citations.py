@@ -36,3 +36,17 @@ def citation_key(written: Column) -> Column:
     year, page = F.try_element_at(numbers, F.lit(1)), F.try_element_at(numbers, F.lit(2))
     sound = (F.size(numbers) == 2) & (reporter != "") & year.rlike("^(18|19|20)[0-9]{2}$|^2100$") & (F.length(page) <= 9)
     return F.when(sound, F.concat_ws(":", reporter, year, court, F.regexp_replace(page, "^0+(?=[0-9])", "")))
+
+
+def key_sql(written: str) -> str:
+    """``citation_key`` of an SQL expression, for the checks beside the queries."""
+    bare = f"regexp_replace(upper(trim({written})), '([^A-Z]|^)(PAGE|PP|P)[^A-Z0-9]*([0-9]+)[^A-Z0-9]*$', '\\1 \\3')"
+    letters = f"regexp_replace({bare}, '[^A-Z]', '', 'g')"
+    codes = "^(" + "|".join(sorted(REPORTERS, key=lambda r: -len(r))) + ")"
+    rest = f"regexp_replace({letters}, '{codes}', '')"
+    seats = " ".join(f"WHEN '{form}' THEN '{canonical}'" for canonical, forms in SEATS.items() for form in forms)
+    numbers = f"regexp_extract_all({bare}, '[0-9]+')"
+    return (
+        f"CASE WHEN len({numbers}) = 2 AND regexp_extract({letters}, '{codes}', 1) <> '' AND regexp_matches({numbers}[1], '^(18|19|20)[0-9]{{2}}$|^2100$') AND length({numbers}[2]) <= 9 "
+        f"THEN regexp_extract({letters}, '{codes}', 1) || ':' || {numbers}[1] || ':' || (CASE {rest} {seats} ELSE {rest} END) || ':' || CAST(CAST({numbers}[2] AS BIGINT) AS VARCHAR) END"
+    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,60 +33,99 @@ def judge_name(raw: Column) -> Column:
     return F.array_join(words, " ")
 
 
-# Kinds of proceeding in the order in which they are tried.
+# Kinds of proceeding in the order in which they are tried: (kind, phrases, abbreviations, letters after the
+# number). 'criminal …' and 'revenue …' before a phrase ask for one of the words below at most so many characters before it.
+# The letters of an abbreviation stand with or without points and blanks between them, unless it is given with points.
 PROCEEDINGS = [
-    ("habeas_corpus", r"habeas"),
-    ("bail", r"bail|b\. ?a\.|[0-9] ?- ?b( |$)"),
-    ("leave_to_appeal", r"leave to appeal|cpla|c\.? ?p\.? ?l\.? ?a( |\.|$)"),
-    ("intra_court_appeal", r"intra[- ]?court|(^| )i\.? ?c\.? ?a( |\.|$)"),
-    ("tax_reference", r"(tax|customs|excise).{0,30}reference|(^| )i\.? ?t\.? ?r( |\.|$)"),
-    ("criminal_appeal", r"jail appeal|(criminal|crl?\.).{0,20}appeal|(^| )crl?\.? ?a( |\.|$)"),
-    ("civil_appeal", r"(^| )r\.? ?f\.? ?a( |\.|$)|(^| )f\.? ?a\.? ?o( |\.|$)|appeal|(^| )c\.? ?a( |\.|$)"),
-    ("criminal_revision", r"(criminal|crl?\.).{0,20}revision|(^| )crl?\.? ?r( |\.|$)"),
-    ("civil_revision", r"revision|(^| )c\.? ?r( |\.|$)"),
-    ("review", r"review"),
-    ("contempt", r"contempt"),
-    ("constitutional_petition", r"writ|constitution|(^| )w\.? ?p( |\.|$)|(^| )c\.? ?p( |\.|$)"),
-    ("civil_suit", r"suit|(^| )c\.? ?s( |\.|$)"),
-    ("criminal_miscellaneous", r"(criminal|crl?\.).{0,20}(misc|application)"),
-    ("civil_miscellaneous", r"misc|(^| )c\.? ?m\.? ?a( |\.|$)|application"),
+    ("habeas_corpus", ["habeas", "491"], [], ["h"]),
+    ("bail", ["bail"], ["b.a."], ["b"]),
+    ("leave_to_appeal", ["leave to appeal"], ["c p l a", "cr p l a", "crl p l a"], []),
+    ("intra_court_appeal", ["intra court", "intra-court", "intracourt"], ["i c a"], []),
+    ("criminal_reference", ["murder reference", "criminal … reference"], ["m r no"], []),
+    ("tax_reference", ["revenue … reference"], ["i t r", "s t r"], []),
+    ("criminal_appeal", ["jail appeal", "criminal … appeal"], ["cr a", "crl a"], []),
+    ("civil_appeal", ["appeal"], ["r f a", "r s a", "f a o"], []),
+    ("criminal_revision", ["criminal … revision"], ["cr r"], []),
+    ("civil_revision", ["revision"], [], []),
+    ("review", ["review"], [], []),
+    ("contempt", ["contempt"], [], []),
+    ("execution", ["execution"], [], []),
+    ("transfer", ["transfer"], [], []),
+    ("constitutional_petition", ["writ", "constitution", "const. p", "const p"], ["c p", "w p", "c p d"], []),
+    ("civil_suit", ["suit"], [], []),
+    ("criminal_miscellaneous", ["criminal … misc", "criminal … application", "criminal … m a"], [], []),
+    ("civil_miscellaneous", ["misc", "application"], ["c m a"], []),
 ]
+BEFORE = {"criminal": (["criminal", "crl", "cr"], 20), "revenue": (["tax", "customs", "excise"], 30)}
+# codes of procedure, which are no petitions
+_PROCEDURE_CODE = r"\bc(r\.?\s?)?\.?\s?p\.?\s?c\b"
+_WHOLE_WORDS = frozenset(("491", "bail", "review", "suit"))
+
+
+def _phrase(phrase: str) -> str:
+    kind, _, rest = phrase.partition(" … ")
+    if rest:
+        words, reach = BEFORE[kind]
+        return rf"\b({'|'.join(words)})\b.{{0,{reach}}}" + (rest if len(rest) > 3 else _abbreviation(rest))
+    bounded = phrase in _WHOLE_WORDS
+    return (r"\b" if bounded or phrase.startswith("const") and phrase != "constitution" else "") + phrase.replace(".", r"\.") + (r"\b" if bounded else "")
+
+
+def _abbreviation(short: str) -> str:
+    if "." in short:
+        return r"\b" + r"\s?".join(re.escape(x) + r"\." for x in short.split(".") if x)
+    return r"\b" + r"\.?\s?".join(short.split()) + r"\b"
 
 
-def first_rule(text: Column, rules: list[tuple[str, str]], default: str = "other") -> Column:
-    """The name of the first rule whose pattern is in the text."""
+def rules(table: list[tuple[str, list[str], list[str], list[str]]]) -> list[tuple[str, str]]:
+    """(kind, pattern) of a table of kinds like PROCEEDINGS."""
+    return [(kind, "|".join([*map(_phrase, phrases), *map(_abbreviation, shorts), *(rf"[0-9]\s?-\s?{x}\b" for x in letters)])) for kind, phrases, shorts, letters in table]
+
+
+def first_rule(text: Column, table: list[tuple[str, str]], default: str = "other") -> Column:
+    """The name of the first rule (name, pattern) whose pattern is in the text."""
     out = None
-    for name, pattern in rules:
+    for name, pattern in table:
         out = F.when(text.rlike(pattern), name) if out is None else out.when(text.rlike(pattern), name)
     return out.otherwise(default)
 
 
-def proceeding_type(case_number: Column) -> Column:
-    """The kind of a proceeding by its number; 'other' where no rule holds, null numbers included."""
-    return first_rule(F.lower(collapse(F.coalesce(case_number, F.lit("")))), PROCEEDINGS)
+def proceeding_type(case_number: Column, heading: Column | None = None) -> Column:
+    """The kind of a proceeding by its number, else by the heading of its text; 'other' where no rule holds, nulls included."""
+    bare = lambda c: F.regexp_replace(F.lower(collapse(F.coalesce(c, F.lit("")))), _PROCEDURE_CODE, " ")
+    by_number = first_rule(bare(case_number), rules(PROCEEDINGS))
+    return by_number if heading is None else F.when(by_number != "other", by_number).otherwise(first_rule(bare(heading), rules(PROCEEDINGS)))
 
 
-# How a passage treats what it cites, with the confidence of each rule.
+# How a passage treats what it cites: (label, confidence, phrases), '|' between words of which any will do.
 TREATMENTS = [
-    ("overruled", r"(?i)(over-?ruled|no longer good law|stands overruled)", 0.92),
-    ("per_incuriam", r"(?i)per incuriam", 0.9),
-    ("distinguished", r"(?i)(distinguishable|is distinguished|can be distinguished)", 0.88),
-    ("not_followed", r"(?i)(not followed|declined? to follow|do not agree with)", 0.86),
-    ("dissented_from", r"(?i)(dissent(ed|ing)? (from|with))", 0.85),
-    ("followed", r"(?i)(followed|in line with|following the (dictum|ratio|principle))", 0.82),
-    ("approved", r"(?i)(approved|affirmed|upheld|endorsed)", 0.8),
-    ("relied_upon", r"(?i)(relied (up)?on|reliance (is|was) placed)", 0.8),
-    ("referred", r"(?i)(referred to|reference (may be|was) made|see also|cited|the reference under)", 0.7),
+    ("overruled", 0.92, ["overruled|over-ruled", "is no longer good law", "stands overruled", "hereby overrule"]),
+    ("per_incuriam", 0.9, ["per incuriam"]),
+    ("distinguished", 0.88, ["distinguishable", "is|can be distinguished", "distinguish|distinguished|distinguishes the case|judgment|authority"]),
+    ("not_followed", 0.86, ["not followed", "decline|declined|declines to follow", "cannot be followed", "do not agree with"]),
+    ("dissented_from", 0.85, ["dissent|dissented|dissenting from|with", "respectfully dissent"]),
+    ("approved", 0.8, ["approved", "affirmed", "upheld", "endorsed"]),
+    ("followed", 0.82, ["followed", "following the dictum|ratio|principle", "in line with", "consistent with the view|ratio"]),
+    ("relied_upon", 0.8, ["relied|rely|relying on|upon", "reliance is|was placed", "placed reliance"]),
+    ("referred", 0.7, ["referred to", "reference may be|was made", "see also", "cited"]),
 ]
+_SLOTS = re.compile(r"(is|can be|may be|[\w-]+)((?:\|(?:can be|may be|was|is|[\w-]+))*)")
+
+
+def treatment_rules() -> list[tuple[str, str, float]]:
+    """(label, pattern, confidence) with the surest first; of equally sure ones the earlier stays ahead."""
+    ways = []
+    for label, sure, phrases in TREATMENTS:
+        spelled = [" ".join(f"({m.group(0)})" if "|" in m.group(0) else m.group(0) for m in _SLOTS.finditer(p)) for p in phrases]
+        ways.append((label, r"(?i)\b(" + "|".join(spelled) + ")", sure))
+    return sorted(ways, key=lambda w: -w[2])
 
 
 def best_treatment(text: Column) -> Column:
     """(label, confidence) of the surest rule that holds; ties go to the earlier rule; null where none does."""
-    ordered = sorted(range(len(TREATMENTS)), key=lambda i: (-TREATMENTS[i][2], i))
     out = None
-    for i in ordered:
-        label, pattern, confidence = TREATMENTS[i]
-        hit = F.struct(F.lit(label).alias("label"), F.lit(confidence).alias("confidence"))
+    for label, pattern, sure in treatment_rules():
+        hit = F.struct(F.lit(label).alias("label"), F.lit(sure).alias("confidence"))
         out = F.when(text.rlike(pattern), hit) if out is None else out.when(text.rlike(pattern), hit)
     return out
 

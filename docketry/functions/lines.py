@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from bisect import bisect_left
 from difflib import SequenceMatcher
 
@@ -10,78 +9,82 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_RUN = re.compile(r"\?{4,}")
-_SIGNED = re.compile(r"^\s*(?:\(?sd/?-?\)?|announced\.?|pronounced\.?|j(?:udge)?\.|.{0,60}\bchief justice\s*\.?)\s*$", re.I)
-_LATIN = re.compile(r"[A-Za-z]{3,}")
-_ARABIC = re.compile(r"[؀-ۿ]")
+# How long a run of question marks means lost characters, and what a line with such a run may have beside it
+# and still count as lost: fewer than 3 Latin words of 3 letters, none of 7 letters, at most 15 other characters.
+RUN, SHORT_WORDS, LONG_WORD, REMAINS = r"\?{4,}", r"[A-Za-z]{3,}", r"[A-Za-z]{7,}", 15
+ARABIC_BLOCK = r"[\x{0600}-\x{06FF}]"
+SIGNED = r"(?i)^\s*(\(sd/?-?\)|sd/?-?|announced\.?|pronounced\.?|j\.|judge\.|.{0,60}\bchief\s+justice\s*\.?)\s*$"
 
 
-def _lost_line(line: str) -> bool:
-    """A line of which nothing readable is left: blank, question marks, or a script without a Latin word."""
-    if _RUN.search(line):
-        return not any(len(w) >= 7 for w in _LATIN.findall(line)) and len(re.sub(r"[?\s]", "", line)) <= 15 and len(_LATIN.findall(line)) < 3
-    return not line.strip() or bool(_ARABIC.search(line)) and not _LATIN.search(line)
+def line_class(line: Column) -> Column:
+    """One letter for what a line is: B blank, D damaged but readable, Q lost, S signature, L Latin, U Arabic script alone, O other."""
+    words = F.regexp_count(line, F.lit(SHORT_WORDS))
+    rest = F.length(F.regexp_replace(line, r"[?\s]", ""))
+    signed = line.rlike(SIGNED)
+    return (
+        F.when(F.trim(F.regexp_replace(line, r"\s+", " ")) == "", "B")
+        .when(line.rlike(RUN) & (signed | (words >= 3) | line.rlike(LONG_WORD) | (rest > REMAINS)), "D")
+        .when(line.rlike(RUN), "Q")
+        .when(signed, "S")
+        .when(words > 0, "L")
+        .when(line.rlike(ARABIC_BLOCK), "U")
+        .otherwise("O")
+    )
+
+
+def _lines(text: Column) -> Column:
+    return F.split(F.regexp_replace(text, "\r\n", "\n"), "\n")
 
 
-def _tail(lines: list[str]) -> int:
-    """Where the readable body ends: after the last signature, else after the last readable line."""
-    signed = max((i for i, x in enumerate(lines) if _SIGNED.match(x)), default=-1)
-    if signed >= 0:
-        return signed + 1
-    return max((i + 1 for i, x in enumerate(lines) if not _RUN.search(x) and _LATIN.search(x)), default=0)
+def line_classes(text: Column) -> Column:
+    """The classes of the lines of a text as one string."""
+    return F.array_join(F.transform(_lines(text), line_class), "")
 
 
-def mojibake_class_of(text: str | None) -> str:
-    """none; headnote, if only lines after the body are lost; body, if the body itself is damaged."""
-    if not text or not _RUN.search(text):
-        return "none"
-    lines = text.splitlines()
-    cut = _tail(lines)
-    if cut == 0 or any(_RUN.search(x) for x in lines[:cut]):
-        return "body"
-    return "headnote" if all(map(_lost_line, lines[cut:])) else "body"
+#: Lost lines stand after the last signature alone, or, unsigned, after the last Latin line alone; nothing else follows.
+LOST_TAIL = "^([^QD]*S[QUB]*|([^QDS]*L)?[QUB]+)$"
 
 
-def strip_lost_tail_of(text: str | None) -> str | None:
-    """The text without the lost lines after its body."""
-    if text is None:
-        return None
-    lines = text.splitlines()
-    cut = _tail(lines)
-    return "\n".join([*lines[:cut], *(x for x in lines[cut:] if not _lost_line(x))]).rstrip() if _RUN.search(text) else text
+def mojibake_class(text: Column) -> Column:
+    """none; headnote, if only lines after the body are lost; body, if the body itself is damaged. Null and empty texts have none."""
+    return F.when(~F.coalesce(text.rlike(RUN), F.lit(False)), "none").when(line_classes(text).rlike(LOST_TAIL), "headnote").otherwise("body")
 
 
-_ADDRESSEE = re.compile(r"^\s*(?:\(?\d{1,2}[.)]\s*)?(?:the\s+)?(?:secretar(?:y|ies)|commissioner|director|deputy|registrar|accountant|chief|inspector|superintendent|chairman|manager|all\b|p\.?s\.? to|copy|master file|office copy|librarian|editor|press)\b.*[,.;]?$", re.I)
-_FORWARD = re.compile(r"\b(?:copy (?:is )?forwarded|copy to|distribution|forwarded for information|no\.? and date even)\b", re.I)
+def strip_lost_tail(text: Column) -> Column:
+    """The text without the lost lines after its last signature, or, unsigned, without those at its end; '' for null."""
+    body = F.coalesce(text, F.lit(""))
+    classes = line_classes(body)
+    signed = F.length(F.regexp_extract(classes, "^(.*S)?", 0))
+    kept = F.filter(_lines(body), lambda x, i: (i < signed) | ~line_class(x).isin("Q", "U", "B"))
+    unsigned = F.slice(_lines(body), F.lit(1), F.length(F.regexp_replace(classes, "[QUB]+$", "")))
+    out = F.array_join(F.when(signed > 0, kept).otherwise(unsigned), "\n")
+    return F.concat(F.regexp_replace(out, r"\s+$", ""), F.when(F.endswith(body, F.lit("\n")), "\n").otherwise(""))
 
 
-def strip_distribution_of(text: str | None) -> str | None:
-    """The text without the block of addressees at its end: from the forwarding line on, if only addressees follow it."""
-    if not text:
-        return text
-    lines = text.splitlines()
-    for i, line in enumerate(lines):
-        if _FORWARD.search(line) and i and all(not x.strip() or _ADDRESSEE.match(x) for x in lines[i + 1 :]) and any(x.strip() for x in lines[i + 1 :]):
-            return "\n".join(lines[:i]).rstrip()
-    return text
+# Whom copies go to, and the words that open the list of them.
+ADDRESSEE = r"(?i)^\s*(\(?[0-9]{1,2}[.)]\s*)?(the\s+)?(secretary|secretaries|commissioner|director|deputy|registrar|accountant|chief|inspector|superintendent|chairman|manager|all\b|p\.?s\.? to|copy|master file|office copy|librarian|editor|press)\b.*$"
+FORWARDED = r"(?i)\b(copy (is )?forwarded|copy to|distribution|forwarded for information|no\.? and date even)\b"
+
+
+def strip_distribution(text: Column) -> Column:
+    """The text without the block of addressees at its end: from the first forwarding line on that only addressees and blank lines follow."""
+    kinds = F.array_join(F.transform(_lines(text), lambda x: F.when(F.trim(x) == "", "B").when(x.rlike(FORWARDED), "F").when(x.rlike(ADDRESSEE), "A").otherwise("O")), "")
+    block = F.regexp_extract(kinds, "(F[BFA]*A[BFA]*)$", 1)
+    cut = F.length(kinds) - F.length(block)
+    return F.when((F.length(block) > 0) & (cut > 0), F.regexp_replace(F.array_join(F.slice(_lines(text), F.lit(1), cut), "\n"), r"\s+$", "")).otherwise(text)
 
 
 _VALUES = {"I": 1, "V": 5, "X": 10, "L": 50, "C": 100, "D": 500, "M": 1000}
 
 
-def numeral_of(token: str | None) -> int | None:
-    """A Roman or Arabic numeral as a number; None where it is neither, and for Roman ones that are not in their usual form."""
-    t = (token or "").strip().strip(".()").upper()
-    if t.isdigit():
-        return int(t[:9])
-    if not t or set(t) - set(_VALUES):
-        return None
-    total = sum(-_VALUES[a] if _VALUES[a] < _VALUES[b] else _VALUES[a] for a, b in zip(t, t[1:] + t[-1:]))
-    back, rest = "", total
-    for sign, value in (("M", 1000), ("CM", 900), ("D", 500), ("CD", 400), ("C", 100), ("XC", 90), ("L", 50), ("XL", 40), ("X", 10), ("IX", 9), ("V", 5), ("IV", 4), ("I", 1)):
-        while rest >= value:
-            back, rest = back + sign, rest - value
-    return total if back == t else None
+def numeral(token: Column) -> Column:
+    """A Roman or Arabic numeral as a number, by the rule that a letter before a greater one is taken off, in whatever order they stand; null where it is neither, or 0."""
+    t = F.upper(F.trim(token))
+    letters = F.split(t, "")
+    worth = F.create_map(*[F.lit(x) for k, v in _VALUES.items() for x in (k, v)])
+    values = F.transform(F.filter(letters, lambda c: c != ""), lambda c: F.try_element_at(worth, c))
+    total = F.aggregate(F.reverse(values), F.struct(F.lit(0).alias("sum"), F.lit(0).alias("last")), lambda a, v: F.struct(F.when(v < a["last"], a["sum"] - v).otherwise(a["sum"] + v).alias("sum"), v.alias("last")), lambda a: a["sum"])
+    return F.when(t.rlike("^[0-9]{1,9}$"), t.try_cast("int")).when(t.rlike("^[IVXLCDM]+$"), F.nullif(total, F.lit(0)))
 
 
 def rising_end_of(numbers) -> int:
@@ -94,22 +97,21 @@ def rising_end_of(numbers) -> int:
     return int(tails[-1]) if tails else 0
 
 
-def similarity_of(a: str | None, b: str | None, limit: int = 4000) -> float:
-    """Ratio of matching blocks of two texts, white space collapsed, to three places."""
-    x, y = " ".join((a or "").split())[:limit], " ".join((b or "").split())[:limit]
+def similarity_of(a: str | None, b: str | None) -> float:
+    """Ratio of matching blocks of two whole texts, white space collapsed, to three places."""
+    x, y = " ".join((a or "").split()), " ".join((b or "").split())
     return round(SequenceMatcher(None, x, y, autojunk=False).ratio(), 3)
 
 
-_CORAM = re.compile(r"^[ \t]*(?:coram|bench|before|present)\s*[.:—-]+\s*(.+?)\s*$", re.I | re.M)
+CORAM = r"(?im)^[ \t]*(coram|bench|before|present)[ \t]*[.:—-]+[ \t]*([^\n]*?)[ \t]*$"
 
 
-def bench_of(text: str | None, most: int = 6) -> list[str]:
-    """The judges of the first coram line."""
-    m = _CORAM.search((text or "")[:6000])
-    if not m:
-        return []
-    names = [re.sub(r",?\s*(?:jj?|c\.?j)\.?$", "", x.strip(), flags=re.I).strip(" .") for x in re.split(r"\s*(?:,|;|\band\b|&)\s*", m.group(1))]
-    return [x for x in dict.fromkeys(re.sub(r"^(?:(?:mr|mrs|ms|dr|hon'?ble|justice)\.?\s+)+", "", n, flags=re.I) for n in names) if len(x) > 3 and not re.search(r"\d", x)][:most]
+def bench(text: Column) -> Column:
+    """The judges of the first coram line of a text, each once, titles off; [] where there is none."""
+    line = F.regexp_extract(F.coalesce(text, F.lit("")), CORAM, 2)
+    parts = F.split(line, r"\s*(?:,|;|\band\b|&)\s*")
+    bare = F.transform(parts, lambda x: F.regexp_replace(F.regexp_replace(F.trim(x), r"(?i)^((mr|mrs|ms|dr|hon'?ble|justice)\.?\s+)+", ""), r"(?i)^[ .]+|,?\s*\b(jj?|c\.?j)\.?$|[ .]+$", ""))
+    return F.array_distinct(F.filter(bare, lambda x: (F.length(x) > 3) & ~x.rlike("[0-9]")))
 
 
 def _udf(fn, kind: str):
@@ -130,13 +132,8 @@ def _udf(fn, kind: str):
     return column
 
 
-mojibake_class = _udf(mojibake_class_of, "string")
-strip_lost_tail = _udf(strip_lost_tail_of, "string")
-strip_distribution = _udf(strip_distribution_of, "string")
 rising_end = _udf(rising_end_of, "int")
 similarity = _udf(similarity_of, "double")
-bench = _udf(bench_of, "array<string>")
-numeral = _udf(numeral_of, "int")
 
 
 def title_tokens(title: Column) -> Column:
@@ -164,6 +161,9 @@ def title_relation(a: Column, b: Column) -> Column:
 
 
 def ocr_name(name: Column) -> Column:
-    """Digits inside a word of letters back to the letters they stand for."""
-    words = F.transform(F.split(name, " "), lambda w: F.when(w.rlike("[A-Za-z]") & w.rlike("[0158]"), F.translate(w, "1058", "losB")).otherwise(w))
+    """Digits inside a word of letters back to the letters they stand for; a word that begins with two of 1, l and I begins with Il."""
+    words = F.transform(
+        F.split(name, " "),
+        lambda w: F.when(~(w.rlike("[A-Za-z]") & w.rlike("[0-9]")), w).when(w.rlike("^[1lI]{2}[a-z]+$"), F.concat(F.lit("Il"), F.substr(w, F.lit(3)))).otherwise(F.translate(w, "1058", "losB")),
+    )
     return F.array_join(words, " ")

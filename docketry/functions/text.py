@@ -64,10 +64,12 @@ def digit_ratio(text: Column) -> Column:
     return F.when(F.length(text) > 0, F.regexp_count(text, F.lit(r"[0-9]")) / F.length(text)).otherwise(0.0)
 
 
-# Sequences that Latin-1 readings of UTF-8 leave behind, and limits of the quality rules.
-MOJIBAKE = r"(?s)Ã.|Â.|â€|Ø.|Ù.|Û.|Ú."
-LEAST_CHARS, MOST_MOJIBAKE, LEAST_LETTERS, LEAST_LETTERS_SCHEDULE = 40, 0.012, 0.28, 0.12
-SCHEDULE = r"(?i)(schedule|tariff|heading|rate of duty)"
+# Sequences that Latin-1 readings of UTF-8 leave behind, words of schedules, and limits of the quality rules.
+MOJIBAKE = r"Ã[^\n]|Â[^\n]|ï»¿|â€"
+SCHEDULE_WORDS = ["schedule", "tariff", r"customs\s+duty", r"serial\s+no", r"description\s+of\s+goods", r"heading\s+no", r"rate\s+of\s+duty", r"hs\s+code"]
+SCHEDULE = rf"(?i)\b({'|'.join(SCHEDULE_WORDS)})\b"
+LEAST_CHARS, MOST_MOJIBAKE, LEAST_LETTERS, LEAST_LETTERS_SCHEDULE, MOST_LOST = 40, 0.012, 0.28, 0.12, 3
+LEAST_GARBLED, MOST_OUTSIDE_WORDS, LEAST_SCRIPT_LETTERS = 80, 0.75, 8
 
 
 def mojibake_density(text: Column) -> Column:
@@ -88,17 +90,28 @@ def fails_ocr_quality(text: Column) -> Column:
     """Dense mojibake, too few letters (schedules may have fewer) or three replacement characters; short texts pass."""
     body = F.trim(F.coalesce(text, F.lit("")))
     least = F.when(is_schedule(body), LEAST_LETTERS_SCHEDULE).otherwise(LEAST_LETTERS)
-    bad = (mojibake_density(body) >= MOST_MOJIBAKE) | (letter_ratio(body) < least) | (F.regexp_count(body, F.lit("�")) >= 3)
+    bad = (mojibake_density(body) >= MOST_MOJIBAKE) | (letter_ratio(body) < least) | (F.regexp_count(body, F.lit("�")) >= MOST_LOST)
     return (F.length(body) >= LEAST_CHARS) & bad
 
 
-ARABIC = r"[\u0621-\u064A\u0671-\u06D3\u06D5\u06EE-\u06EF\u06FA-\u06FC\u0750-\u077F\uFB50-\uFBB1\uFBD3-\uFD3D\uFD50-\uFDFB\uFE70-\uFEFC]"
+# Blocks of Arabic script, and the private-use area in which older fonts keep its letter forms.
+ARABIC = r"\x{0600}-\x{06FF}\x{0750}-\x{077F}\x{FB50}-\x{FDFF}\x{FE70}-\x{FEFF}"
+PRIVATE = r"\x{E000}-\x{F8FF}"
+
+
+def script_letters(text: Column) -> Column:
+    """Letters, with everything of Arabic script and the private-use letter forms counted as one."""
+    return F.regexp_count(text, F.lit(rf"[\p{{L}}{ARABIC}{PRIVATE}]"))
 
 
 def arabic_share(text: Column) -> Column:
-    """Share of Arabic-script letters among all letters."""
-    letters = F.regexp_count(text, F.lit(r"\p{L}"))
-    return F.when(letters > 0, F.regexp_count(text, F.lit(ARABIC)) / letters).otherwise(0.0)
+    """Share of Arabic-script characters and private-use letter forms among the letters."""
+    return F.when(script_letters(text) > 0, F.regexp_count(text, F.lit(f"[{ARABIC}{PRIVATE}]")) / script_letters(text)).otherwise(0.0)
+
+
+def is_arabic_script(text: Column) -> Column:
+    """At least half of the letters are of Arabic script; a text of fewer than 8 letters is not."""
+    return F.coalesce((script_letters(text) >= LEAST_SCRIPT_LETTERS) & (arabic_share(text) >= 0.5), F.lit(False))
 
 
 def long_word_share(text: Column) -> Column:
@@ -110,19 +123,34 @@ def long_word_share(text: Column) -> Column:
 def is_garbled(text: Column) -> Column:
     """80 characters or more of which more than three quarters are outside long Latin words; Arabic script and schedules aside."""
     body = F.trim(F.coalesce(text, F.lit("")))
-    return (F.length(body) >= 80) & (arabic_share(body) < 0.5) & ~is_schedule(body) & (1 - long_word_share(body) > 0.75)
+    return (F.length(body) >= LEAST_GARBLED) & ~is_arabic_script(body) & ~is_schedule(body) & (1 - long_word_share(body) > MOST_OUTSIDE_WORDS)
+
+
+def has_readable_words(text: Column) -> Column:
+    """A text layer worth keeping: Arabic script, or 40 characters or more with 12 in long Latin words and not garbled by their share."""
+    body = F.trim(F.coalesce(text, F.lit("")))
+    covered = long_word_share(body) * F.length(body)
+    return is_arabic_script(body) | ((F.length(body) >= LEAST_CHARS) & (F.round(covered) >= 12) & (1 - long_word_share(body) <= MOST_OUTSIDE_WORDS))
+
+
+# Characters of prose beside ASCII and Arabic script, first characters of image files read as text, and names they hold.
+PROSE_EXTRAS = "\u00a0\u2013\u2014\u2018\u2019\u201c\u201d\u2022\u00b7"
+READABLE = rf"[\t\r\n\x20-\x7e{ARABIC}{PRIVATE}{PROSE_EXTRAS}]"
+JPEG_HEAD, PNG_HEAD, IMAGE_NAMES = "\u00ff\u00d8\u00ff", "\u0089PNG", r"JFIF|ICC_PROFILE|\x00"
+UNPRINTABLE = rf"[\p{{C}}\p{{Z}}&&[^ {PRIVATE}]]"
 
 
 def is_binary_garbage(text: Column) -> Column:
-    """Mostly characters that no text has: signatures of image files, or unprintable characters."""
+    """A text that is no text: it begins as an image file does, or its share of readable characters is below a half (below 0.85 where it
+    holds a name that image files hold), or more than a fifth of it cannot be printed. Texts of less than 8, or for the last 32,
+    characters are too short for the shares; blank texts are none."""
     body = F.coalesce(text, F.lit(""))
-    total = F.length(body)
-    least = F.greatest(total, F.lit(1))
-    allowed = F.regexp_count(body, F.lit(r"[\x20-\x7e\s\p{L}\p{M}\p{N}\p{P}]"))
-    nonprint = F.regexp_count(body, F.lit(r"[\x00-\x08\x0e-\x1f\x7f]"))
-    return (F.length(F.trim(body)) > 0) & (
-        ((total >= 8) & (allowed / least < 0.5)) | (body.rlike("JFIF|ICC_PROFILE") & (allowed / least < 0.85)) | ((total >= 32) & (nonprint / least > 0.2))
-    )
+    n = F.length(body)
+    readable = F.regexp_count(body, F.lit(READABLE))
+    begins = F.contains(F.substring(body, 1, 32), F.lit(JPEG_HEAD)) | F.startswith(body, F.lit(PNG_HEAD))
+    needed = F.when(body.rlike(IMAGE_NAMES), 0.85).when(n >= 8, 0.5).otherwise(0.0)
+    unprintable = F.when(n >= 32, F.regexp_count(body, F.lit(UNPRINTABLE))).otherwise(0)
+    return (F.length(F.regexp_replace(body, r"^\s+", "")) > 0) & (begins | (readable < needed * n) | (unprintable > 0.2 * n))
 
 
 def collapse_letter_spaced(text: Column) -> Column:
@@ -133,36 +161,48 @@ def collapse_letter_spaced(text: Column) -> Column:
     return out
 
 
-# Shapes of credentials.
-CREDENTIALS = [
-    (r"(?i)(authorization\s*:\s*)(?:bearer|basic)\s+[A-Za-z0-9\-._~+/]+=*", "$1[redacted]"),
-    (r"(?i)((?:set-)?cookie\s*:\s*)[^\n]+", "$1[redacted]"),
-    (r"(?i)((?:api[_-]?key|apikey|secret|password|passwd|pwd|token)\s*[=:]\s*)['\"]?[^\s'\"&;]{6,}", "$1[redacted]"),
-    (r"(?i)((?:session[_-]?id|sessid|jsessionid|phpsessid|access[_-]?token|refresh[_-]?token|id_token)\s*[=:]\s*)['\"]?[^\s'\"&;<]{6,}", "$1[redacted]"),
-    (r"sk-[A-Za-z0-9]{20,}", "[redacted]"),
-    (r"AKIA[0-9A-Z]{16}", "[redacted]"),
-    (r"gAAAA[A-Za-z0-9_\-]{40,}={0,2}", "[redacted]"),
-]
+# Headers whose values are secrets, names that secrets are given under ('*' for any ending), and published token
+# formats (prefix, characters that follow, least number of them).
+SECRET_HEADERS = ["cookie", "set-cookie"]
+SECRET_NAMES = [
+    "api_key", "api-key", "apikey", "secret", "password", "passwd", "pwd", "token", "session_id", "session-id", "sessionid", "sessid", "sid", "jsessionid", "phpsessid",
+    "asp.net_sessionid", ".aspnetcore.*", ".aspxauth", "csrf*", "xsrf*", "__requestverificationtoken", "access_token", "access-token", "accesstoken",
+    "refresh_token", "refresh-token", "refreshtoken", "id_token", "auth*",
+]
+TOKEN_FORMATS = [("sgai-", r"A-Za-z0-9\-", 16), ("sk-", "A-Za-z0-9", 20), ("AKIA", "0-9A-Z", 16), ("gAAAA", r"A-Za-z0-9_\-=", 40)]
+
+
+def _secret_name(name: str) -> str:
+    out = name.rstrip("*").replace(".", r"\.")
+    return (r"\b" if out[0].isalnum() else "") + out + (r"[\w.-]*" if name.endswith("*") else "")
+
+
+def secret_shapes() -> list[str]:
+    """Patterns of secrets; the first group of each, where it has one, is what may stay."""
+    headers = rf"(?i)((?:{'|'.join(SECRET_HEADERS)})\s*:\s*)[^\n]+"
+    login = r"(?i)(authorization\s*:\s*)(?:bearer|basic)\s+[\w.~+/-]+=*"
+    named = rf"(?i)((?:{'|'.join(map(_secret_name, SECRET_NAMES))})\s*[=:]\s*)['\"]?[^\s'\"&;<]{{6,}}"
+    return [login, headers, named, *(rf"()\b{prefix}[{of}]{{{least},}}" for prefix, of, least in TOKEN_FORMATS)]
 
 
 def scrub_secrets(text: Column) -> Column:
     out = text
-    for shape, put in CREDENTIALS:
-        out = F.regexp_replace(out, shape, put)
+    for shape in secret_shapes():
+        out = F.regexp_replace(out, shape, "$1[REDACTED]")
     return out
 
 
 def contains_secret(text: Column) -> Column:
     out = F.lit(False)
-    for shape, _ in CREDENTIALS:
+    for shape in secret_shapes():
         out = out | F.coalesce(text.rlike(shape), F.lit(False))
     return out
 
 
 def contains_all(text: Column, words: list[str]) -> Column:
-    """Every word of two characters or more, at most twelve of them, in the text without regard to case."""
+    """Every word of two characters or more in the text without regard to case."""
     out = F.lit(True)
-    for w in [w for w in words if len(w) >= 2][:12]:
+    for w in [w for w in words if len(w) >= 2]:
         out = out & F.contains(F.lower(text), F.lit(w.lower()))
     return out
 

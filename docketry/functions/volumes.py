@@ -89,11 +89,13 @@ def contents_entries(text: Column) -> Column:
     return entries(text)
 
 
-def caption(text: Column, most: int = 2000) -> Column:
-    """The head of a case: what stands before the first order, judgment, coram or judge's line, at most ``most`` characters."""
-    head = F.substring(text, 1, most)
-    cut = F.regexp_instr(head, F.lit(r"(?m)^\s*(?i:order|judgment|judgement|coram\b.*|present:.*)\s*$|[A-Z' .]{5,}, (?:J|JJ|C\.J)\.--"))
-    return F.when(cut > 1, F.substr(head, F.lit(1), cut - 1)).otherwise(head)
+CAPTION_END = r"(?m)^\s*(?i:order|judgment|judgement|coram\b[^\n]*|present:[^\n]*)\s*$|[A-Z' .]{5,}, (?:J|JJ|C\.J)\.--"
+
+
+def caption(text: Column) -> Column:
+    """The head of a case: what stands before the first order, judgment, coram or judge's line; the whole text where there is none."""
+    cut = F.regexp_instr(text, F.lit(CAPTION_END))
+    return F.when(cut > 1, F.substr(text, F.lit(1), cut - 1)).otherwise(text)
 
 
 def case_head(text: Column) -> Column:
@@ -107,12 +109,12 @@ def case_head(text: Column) -> Column:
 
 
 # Lines that PDF readers leave behind.
-_JUNK = r"[\u200b-\u200f\u202a-\u202e\u2060\ufeff\u00ad\x00-\x08\x0b\x0c\x0e-\x1f]"
+JUNK = r"[\u200b-\u200f\u202a-\u202e\u2060\ufeff\u00ad\x00-\x08\x0b\x0c\x0e-\x1f]"
 
 
 def clean_text(text: Column) -> Column:
     """Control and zero-width characters out, blanks collapsed, lines stripped, at most one blank line in a row."""
-    out = F.regexp_replace(text, _JUNK, "")
+    out = F.regexp_replace(text, JUNK, "")
     out = F.regexp_replace(F.translate(out, "\u00a0\t", "  "), r"\r\n?", "\n")
     out = F.regexp_replace(F.regexp_replace(out, r" {2,}", " "), r"(?m)^ +| +$", "")
     return F.regexp_replace(F.regexp_replace(out, r"\n{3,}", "\n\n"), r"^\s+|\s+$", "")

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 #: A key is hot from this share of the rows on. At most 1 / HOT_SHARE keys can be hot, which bounds what is broadcast.
 HOT_SHARE = 0.002
-SALTS = 32
+#: Rows of a hot key to one salt, and the most salts of a key, which bounds how often the other side is repeated.
+ROWS_PER_SALT, MOST_SALTS = 100_000, 1024
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, counts: DataFrame | None = None, floor: int = 20_000) -> DataFrame:
-    """Keys with at least ``share`` of all rows and at least ``floor`` rows: never more than ``1 / share`` rows.
+    """(_hot, _salts): keys with at least ``share`` of all rows and at least ``floor`` rows, never more than ``1 / share`` of them, with the salts of each.
 
     ``counts`` (key, n) may be passed where it exists already. Null keys are no keys.
     """
@@ -20,26 +21,25 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, counts: DataFram
     return (
         n.where(F.col("n") >= floor)
         .join(F.broadcast(total), F.col("n") >= F.col("_total") * F.lit(share))
-        .select(F.col(key).alias("_hot"))
+        .select(F.col(key).alias("_hot"), F.least(F.lit(MOST_SALTS), F.greatest(F.lit(2), F.ceil(F.col("n") / ROWS_PER_SALT))).cast("bigint").alias("_salts"))
     )
 
 
 def skew_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", salt_by: Column | None = None, hot: DataFrame | None = None) -> DataFrame:
     """``left`` joined to ``right`` on ``key`` where single keys of ``left`` may be hot.
 
-    Hot keys of the left side are spread over ``SALTS`` parts by ``salt_by`` (a hash of the row's id) and the
+    Hot keys of the left side are spread, by ``salt_by`` (a hash of the row's id), over as many parts as their rows ask for and the
     matching rows of the right side are repeated for each part; all other keys join as they are. ``how`` is
     inner, left, left_semi or left_anti. The right side must not be hot on the key.
     """
     hot = hot_keys(left, key) if hot is None else hot
     salt_by = F.monotonically_increasing_id() if salt_by is None else salt_by
-    marked = left.join(F.broadcast(hot), left[key] == hot["_hot"], "left").withColumn(
-        "_salt", F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(salt_by), F.lit(SALTS))).otherwise(F.lit(0).cast("bigint"))
-    ).drop("_hot")
+    zero = F.lit(0).cast("bigint")
+    marked = left.join(F.broadcast(hot), left[key] == hot["_hot"], "left").withColumn("_salt", F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(salt_by), F.col("_salts"))).otherwise(zero)).drop("_hot", "_salts")
     spread = (
         right.join(F.broadcast(hot), right[key] == hot["_hot"], "left")
-        .withColumn("_salt", F.explode(F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).otherwise(F.array(F.lit(0).cast("bigint")))))
-        .drop("_hot")
+        .withColumn("_salt", F.explode(F.when(F.col("_hot").isNotNull(), F.sequence(zero, F.col("_salts") - 1)).otherwise(F.array(zero))))
+        .drop("_hot", "_salts")
     )
     return marked.join(spread, [key, "_salt"], how).drop("_salt")
 

@@ -7,24 +7,15 @@ from pyspark.sql import functions as F
 from docketry.functions import dates as D
 from docketry.functions import legal as L
 from docketry.functions import text as T
-from docketry.functions.citations import citation_key
+from docketry.functions.citations import citation_key, key_sql
 from docketry.operators.identity import resolve_unique
-from docketry.operators.sections import carry_forward_merge, fuller_text_wins, reextract_gate, split_sections
+from docketry.operators.sections import carry_forward_merge, fuller_text_wins, is_fake_number, reextract_gate, split_sections
 from docketry.plans.registry import CORE
 from docketry.sources.tables import table
 
 
-@CORE.query("citation_keys", "SELECT id, regexp_replace(canonical_citation, '^PLD ([0-9]{4}) ([A-Za-z]+) ([0-9]+)$', 'PLD:\\1:\\2:\\3') AS k FROM judgment WHERE canonical_citation LIKE 'PLD %'")
+@CORE.query("citation_keys", f"SELECT id, canonical_citation, {key_sql('canonical_citation')} AS k FROM judgment")
 def citation_keys(spark, sf):
-    """Keys of canonical citations; upper-case seats are compared as they are stored."""
-    j = table(spark, sf, "judgment").where("canonical_citation LIKE 'PLD %'")
-    parts = F.split(citation_key(F.col("canonical_citation")), ":")
-    seat = F.when(F.length(parts[2]) <= 3, parts[2]).otherwise(F.initcap(F.lower(parts[2])))
-    return j.select("id", F.concat_ws(":", parts[0], parts[1], seat, parts[3]).alias("k"))
-
-
-@CORE.query("citation_keys_all")
-def citation_keys_all(spark, sf):
     """Keys of the canonical citations of all judgments, of every reporter; null where a judgment has no sound citation."""
     return table(spark, sf, "judgment").select("id", "canonical_citation", citation_key(F.col("canonical_citation")).alias("k"))
 
@@ -86,20 +77,21 @@ def title_parties(spark, sf):
 
 
 def _rules_sql(column: str) -> str:
-    return "CASE " + " ".join(f"WHEN regexp_matches({column}, '{p}') THEN '{n}'" for n, p in L.PROCEEDINGS) + " ELSE 'other' END"
+    bare = f"regexp_replace(lower(trim(regexp_replace(replace(coalesce({column}, ''), chr(160), ' '), '\\s+', ' ', 'g'))), '{L._PROCEDURE_CODE}', ' ', 'g')"
+    return "CASE " + " ".join(f"WHEN regexp_matches({bare}, '{p}') THEN '{n}'" for n, p in L.rules(L.PROCEEDINGS)) + " ELSE 'other' END"
 
 
-@CORE.query("proceeding_types", f"""SELECT id, {_rules_sql("lower(trim(regexp_replace(replace(coalesce(docket_number, ''), chr(160), ' '), '\\s+', ' ', 'g')))")} AS kind FROM judgment""")
+@CORE.query("proceeding_types", f"SELECT id, CASE WHEN k <> 'other' THEN k ELSE {_rules_sql('left(full_text, 1500)')} END AS kind FROM (SELECT id, full_text, {_rules_sql('docket_number')} AS k FROM judgment)")
 def proceeding_types(spark, sf):
-    return table(spark, sf, "judgment").select("id", L.proceeding_type(F.col("docket_number")).alias("kind"))
+    """The kind of each proceeding by its number, else by the heading, which is the first 1,500 characters of its text."""
+    return table(spark, sf, "judgment").select("id", L.proceeding_type(F.col("docket_number"), F.left("full_text", F.lit(1500))).alias("kind"))
 
 
-def _treatment_sql() -> str:
-    rules = sorted(range(len(L.TREATMENTS)), key=lambda i: (-L.TREATMENTS[i][2], i))
-    return "CASE " + " ".join(f"WHEN regexp_matches(full_text, '{L.TREATMENTS[i][1]}') THEN '{L.TREATMENTS[i][0]}' " for i in rules) + "END"
+def _treatment_sql(column: str) -> str:
+    return "CASE " + " ".join(f"WHEN regexp_matches({column}, '{pattern}') THEN '{label}' " for label, pattern, _ in L.treatment_rules()) + "END"
 
 
-@CORE.query("treatments", f"SELECT {_treatment_sql()} AS label, count(*) AS n FROM judgment GROUP BY 1")
+@CORE.query("treatments", f"SELECT {_treatment_sql('full_text')} AS label, count(*) AS n FROM judgment GROUP BY 1")
 def treatments(spark, sf):
     """The surest treatment that a text speaks of."""
     return table(spark, sf, "judgment").select(L.best_treatment(F.col("full_text")).getField("label").alias("label")).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
@@ -111,7 +103,16 @@ def bench_checks(spark, sf):
     return j.select("id", F.size(F.filter("judge_names", lambda x: F.length(x) > 3)).alias("judges"), L.bench_type(F.col("bench_size")).alias("by_size"), "bench_type")
 
 
-@CORE.query("judge_names")
+_COLLAPSED = "trim(regexp_replace(replace(raw, chr(160), ' '), '\\s+', ' ', 'g'))"
+_UNTITLED = f"regexp_replace(regexp_replace({_COLLAPSED}, '{L._AFTER}', ''), '{L._BEFORE}', '')".replace("hon'?ble", "hon''?ble")
+_PLAIN = f"regexp_replace(regexp_replace(regexp_replace({_UNTITLED}, '[^A-Za-z0-9 .''-]', ' ', 'g'), '\\s+', ' ', 'g'), '^[ .-]+|[ .-]+$', '', 'g')"
+
+
+@CORE.query(
+    "judge_names",
+    f"""WITH n AS (SELECT unnest(judge_names) AS raw FROM judgment), j AS (SELECT array_to_string(list_transform(string_split({_PLAIN}, ' '), lambda w: CASE WHEN w = upper(w) OR w = lower(w) THEN upper(w[1:1]) || lower(w[2:]) ELSE w END), ' ') AS judge FROM n WHERE raw IS NOT NULL)
+    SELECT judge, count(*) AS n FROM j WHERE judge <> '' GROUP BY 1""",
+)
 def judge_names(spark, sf):
     """Judges without titles, by count. Column expressions alone; spellings are not linked here."""
     names = table(spark, sf, "judgment").select(F.explode("judge_names").alias("raw")).groupBy("raw").agg(F.count(F.lit(1)).alias("n"))
@@ -162,7 +163,15 @@ def amendment_edges(spark, sf):
     return g.join(table(spark, sf, "instrument").select(F.col("id").alias("instrument_id")), "instrument_id", "left_semi")
 
 
-@CORE.query("document_sections")
+_HEAD = "(?:Section )?([0-9]+[A-Z]?(?:-[A-Z])?)\\. "
+
+
+@CORE.query(
+    "document_sections",
+    f"""WITH p AS (SELECT doc_id, unnest(list_filter(string_split(regexp_replace(text, '(?m)^({_HEAD})', chr(1) || '\\1', 'g'), chr(1)), lambda x: length(trim(x)) > 0)) AS part FROM documents WHERE length(trim(coalesce(text, ''))) > 0),
+    s AS (SELECT doc_id, regexp_extract(part, '^{_HEAD}', 1) AS section_number, length(regexp_replace(regexp_replace(part, '^{_HEAD}', ''), '^\\s+|\\s+$', '', 'g')) AS chars FROM p)
+    SELECT doc_id, section_number, max(chars) AS chars FROM s WHERE section_number <> '' GROUP BY 1, 2""".replace("\\\\", "\\"),
+)
 def document_sections(spark, sf):
     """Texts split at their numbered headings, the fuller text of each number."""
     s = split_sections(table(spark, sf, "documents").select("doc_id", "text"), "doc_id", "text")
@@ -179,15 +188,39 @@ def section_counts(spark, sf):
     return s.groupBy("doc_id").agg(F.count(F.lit(1)).alias("headings"))
 
 
+_NUMBERED = """WITH x AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL), y AS (SELECT doc_id, unnest(l) AS t, generate_subscripts(l, 1) - 1 AS line FROM x),
+    n AS (SELECT doc_id, line, t, TRY_CAST(nullif(regexp_extract(t, '^([0-9]{1,4})(?:[.)]| )', 1), '') AS INTEGER) AS number FROM y)"""
+
+
+def _numbered_lines(spark, sf):
+    d = table(spark, sf, "documents").where("text is not null").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t"))
+    return d.withColumn("number", F.nullif(F.regexp_extract("t", "^([0-9]{1,4})(?:[.)]| )", 1), F.lit("")).cast("int")).where("number is not null")
+
+
 @CORE.query(
     "carry_forward_merge",
-    """WITH l AS (SELECT l_orderkey, l_linenumber, l_linenumber % 3 = 2 AS bogus, CAST(l_partkey AS VARCHAR) AS t, max(CASE WHEN l_linenumber % 3 <> 2 THEN l_linenumber END) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS target FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey FROM lineitem GROUP BY 1, 2))
-    SELECT l_orderkey, target AS l_linenumber, string_agg(t, chr(10) ORDER BY l_linenumber) AS t, count(*) - 1 AS merged FROM l WHERE target IS NOT NULL GROUP BY 1, 2""",
+    _NUMBERED + """, b AS (SELECT *, number BETWEEN 1800 AND 2100 AS bogus FROM n WHERE number IS NOT NULL), l AS (SELECT *, max(CASE WHEN NOT bogus THEN line END) OVER (PARTITION BY doc_id ORDER BY line) AS into_line FROM b)
+    SELECT doc_id, into_line AS line, string_agg(t, chr(10) ORDER BY line) AS t, count(*) - 1 AS merged FROM l WHERE into_line IS NOT NULL GROUP BY 1, 2""",
 )
 def carry_forward(spark, sf):
-    """Lines with a bogus number appended to the last real line before them."""
-    li = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").cast("string").alias("t"))
-    return carry_forward_merge(li, "l_orderkey", "l_linenumber", F.col("l_linenumber") % 3 == 2, "t")
+    """Numbered lines of documents, those numbered by a year appended to the last line of a real number before them."""
+    return carry_forward_merge(_numbered_lines(spark, sf), "doc_id", "line", F.col("number").between(1800, 2100), "t")
+
+
+_SOUND = "list_sort(list_distinct(list_filter(nums, lambda n: n NOT BETWEEN 1800 AND 2100 AND n <= 5000)))"
+
+
+@CORE.query(
+    "fake_heading_numbers",
+    _NUMBERED + f""", g AS (SELECT doc_id, list(number) AS nums FROM n WHERE number IS NOT NULL GROUP BY 1), r AS (SELECT doc_id, {_SOUND} AS present FROM g),
+    o AS (SELECT DISTINCT n.doc_id, n.number, list_filter(present, lambda x: x <> n.number) AS others FROM n JOIN r USING (doc_id) WHERE n.number IS NOT NULL)
+    SELECT doc_id, number FROM o WHERE number BETWEEN 1800 AND 2100 OR number > 5000 OR (number >= 100 AND number > 5 + CASE WHEN len(others) = 0 THEN 0 WHEN len(others) = 1 THEN others[1] ELSE greatest(others[len(others) // 2 + 1], others[len(others) - 1]) END)""",
+)
+def fake_heading_numbers(spark, sf):
+    """Numbers of lines that are years, or far off the other numbers of their document."""
+    n = _numbered_lines(spark, sf).select("doc_id", "number").distinct()
+    g = n.groupBy("doc_id").agg(F.collect_list("number").alias("nums"))
+    return n.join(g, "doc_id").where(is_fake_number(F.col("number"), F.col("nums"))).select("doc_id", "number")
 
 
 @CORE.query(

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from docketry.functions import lines as N
 from docketry.functions import spans as S
 from docketry.functions.legal import best_treatment, section_integer
 from docketry.operators.identity import resolve_unique
-from docketry.plans.registry import CORE
+from docketry.operators.timelines import number_gaps
+from docketry.plans.registry import CORE, quoted
 from docketry.sources.tables import table
 
 _ROW = "(?is)<tr>\\s*<td>([^<]*)</td>\\s*<td><a href=\"([^\"]*)\">([^<]*)</a></td>\\s*<td>([^<]*)</td>\\s*</tr>"
@@ -44,9 +44,8 @@ def case_ids(spark, sf):
 @CORE.query("next_serials", "WITH s AS (SELECT source_name, TRY_CAST(regexp_extract(url, '/([0-9]+)$', 1) AS BIGINT) AS n FROM page_result), d AS (SELECT DISTINCT source_name, n FROM s WHERE n IS NOT NULL), l AS (SELECT source_name, n, lead(n) OVER (PARTITION BY source_name ORDER BY n) AS nxt FROM d) SELECT source_name, min(n + 1) AS next_free, count(*) AS gaps FROM l WHERE nxt IS NULL OR nxt > n + 1 GROUP BY 1")
 def next_serials(spark, sf):
     """The next serial of each source that is not held, and how many runs the held ones form."""
-    s = table(spark, sf, "page_result").select("source_name", F.regexp_extract("url", "/([0-9]+)$", 1).try_cast("bigint").alias("n")).where("n is not null").distinct()
-    nxt = F.lead("n").over(Window.partitionBy("source_name").orderBy("n"))
-    return s.withColumn("nxt", nxt).where("nxt is null or nxt > n + 1").groupBy("source_name").agg(F.min(F.col("n") + 1).alias("next_free"), F.count(F.lit(1)).alias("gaps"))
+    s = table(spark, sf, "page_result").select("source_name", F.regexp_extract("url", "/([0-9]+)$", 1).try_cast("bigint").alias("n"))
+    return number_gaps(s, "source_name", "n").groupBy("source_name").agg(F.min(F.col("after") + 1).alias("next_free"), F.count(F.lit(1)).alias("gaps"))
 
 
 @CORE.query("citation_spans")
@@ -92,14 +91,46 @@ def amendment_clauses(spark, sf):
     return found.groupBy("source_table", "id", "operation", "number", "statute").agg(F.min("start").alias("start"))
 
 
-@CORE.query("mojibake_classes")
+_LINES = "string_split(replace({0}, chr(13) || chr(10), chr(10)), chr(10))"
+_LINE_CLASS = (
+    f"CASE WHEN trim(regexp_replace(x, '\\s+', ' ', 'g')) = '' THEN 'B' WHEN regexp_matches(x, {quoted(N.RUN)}) THEN CASE WHEN regexp_matches(x, {quoted(N.SIGNED)}) OR len(regexp_extract_all(x, {quoted(N.SHORT_WORDS)})) >= 3 "
+    f"OR regexp_matches(x, {quoted(N.LONG_WORD)}) OR length(regexp_replace(x, '[?\\s]', '', 'g')) > {N.REMAINS} THEN 'D' ELSE 'Q' END WHEN regexp_matches(x, {quoted(N.SIGNED)}) THEN 'S' WHEN regexp_matches(x, {quoted(N.SHORT_WORDS)}) THEN 'L' WHEN regexp_matches(x, {quoted(N.ARABIC_BLOCK)}) THEN 'U' ELSE 'O' END"
+)
+
+
+def _classes(column: str) -> str:
+    return f"array_to_string(list_transform({_LINES.format(column)}, lambda x: {_LINE_CLASS}), '')"
+
+
+
+@CORE.query(
+    "mojibake_classes",
+    f"SELECT CASE WHEN text IS NULL OR NOT regexp_matches(text, {quoted(N.RUN)}) THEN 'none' WHEN regexp_matches({_classes('text')}, {quoted(N.LOST_TAIL)}) THEN 'headnote' ELSE 'body' END AS kind, count(*) AS n FROM documents GROUP BY 1",
+)
 def mojibake_classes(spark, sf):
     """Where the lost characters of a text are."""
     d = table(spark, sf, "documents").select(N.mojibake_class(F.col("text")).alias("kind"))
     return d.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
 
 
-@CORE.query("instrument_bodies")
+@CORE.query(
+    "lost_tails",
+    rf"""WITH t AS (SELECT id, full_text || chr(10) || 'J.' || chr(10) || '?????? ???' || chr(10) || 'The ????? order ran to ????' || chr(10) || '????' AS t FROM judgment WHERE full_text IS NOT NULL), c AS (SELECT *, {_LINES.format('t')} AS l, {_classes('t')} AS k FROM t)
+    SELECT id, '…' || right(regexp_replace(array_to_string(list_filter(l, lambda x, i: i <= length(regexp_extract(k, '^(.*S)?')) OR NOT ({_LINE_CLASS}) IN ('Q', 'U', 'B')), chr(10)), '\s+$', ''), 60) AS tail FROM c""",
+)
+def lost_tails(spark, sf):
+    """How judgments end once the lost lines behind their signatures are taken off; each is given a signed tail with lost and damaged lines."""
+    t = F.concat("full_text", F.lit("\nJ.\n?????? ???\nThe ????? order ran to ????\n????"))
+    return table(spark, sf, "judgment").where("full_text is not null").select("id", F.concat(F.lit("…"), F.right(N.strip_lost_tail(t), F.lit(60))).alias("tail"))
+
+
+@CORE.query(
+    "instrument_bodies",
+    rf"""WITH l AS (SELECT id, full_text, string_split(replace(full_text, chr(13) || chr(10), chr(10)), chr(10)) AS l FROM instrument WHERE full_text IS NOT NULL),
+    k AS (SELECT *, array_to_string(list_transform(l, lambda x: CASE WHEN trim(x) = '' THEN 'B' WHEN regexp_matches(x, {quoted(N.FORWARDED)}) THEN 'F' WHEN regexp_matches(x, {quoted(N.ADDRESSEE)}) THEN 'A' ELSE 'O' END), '') AS k FROM l),
+    c AS (SELECT *, length(regexp_extract(k, '(F[BFA]*A[BFA]*)$')) AS b FROM k)
+    SELECT id, length(full_text) AS chars, length(CASE WHEN b > 0 AND len(l) > b THEN regexp_replace(array_to_string(l[1:len(l) - b], chr(10)), '\s+$', '') ELSE full_text END) AS kept FROM c""",
+)
 def instrument_bodies(spark, sf):
     """Instruments without the block of addressees at their end."""
     i = table(spark, sf, "instrument").where("full_text is not null")
@@ -133,10 +164,18 @@ def affected_titles(spark, sf):
     return i.join(s, "affected_statute_id").select("id", N.title_relation(F.col("affected_statute_name"), F.col("name")).alias("relation"))
 
 
-@CORE.query("coram_benches")
+_BARE = "regexp_replace(regexp_replace(trim(x), '(?i)^((mr|mrs|ms|dr|hon''?ble|justice)\\.?\\s+)+', '', 'g'), '(?i)^[ .]+|,?\\s*\\b(jj?|c\\.?j)\\.?$|[ .]+$', '', 'g')"
+
+
+@CORE.query(
+    "coram_benches",
+    rf"""WITH c AS (SELECT id, judge_names, regexp_extract(coalesce(full_text, ''), {quoted(N.CORAM)}, 2) AS line FROM judgment WHERE full_text IS NOT NULL),
+    n AS (SELECT id, judge_names, list_sort(list_distinct(list_filter(list_transform(string_split_regex(line, '\s*(?:,|;|\band\b|&)\s*'), lambda x: {_BARE}), lambda x: length(x) > 3 AND NOT regexp_matches(x, '[0-9]')))) AS coram FROM c)
+    SELECT id, coram, coalesce(len(judge_names), 0) AS recorded FROM n WHERE len(coram) > 0""",
+)
 def coram_benches(spark, sf):
-    """Judges named in the coram line beside those on record."""
-    j = table(spark, sf, "judgment").where("full_text is not null").select("id", N.bench(F.col("full_text")).alias("coram"), F.size(F.coalesce("judge_names", F.array().cast("array<string>"))).alias("recorded"))
+    """Judges named in the coram line of a text, wherever it stands, beside those on record."""
+    j = table(spark, sf, "judgment").where("full_text is not null").select("id", F.array_sort(N.bench(F.col("full_text"))).alias("coram"), F.size(F.coalesce("judge_names", F.array().cast("array<string>"))).alias("recorded"))
     return j.where(F.size("coram") > 0)
 
 

@@ -15,18 +15,18 @@ from docketry.sources.tables import table
 
 @CORE.query(
     "identity_reconcile",
-    """WITH u AS (SELECT id, full_text_hash AS h, court_name, decision_year, proceeding_type FROM judgment WHERE unreported), r AS (SELECT id, full_text_hash AS h, court_name, decision_year, proceeding_type FROM judgment WHERE NOT unreported),
-    p AS (SELECT u.id AS probe_id, r.id AS build_id, u.h = r.h AS same FROM u JOIN r USING (court_name, decision_year, proceeding_type)),
+    """WITH u AS (SELECT id, full_text_hash AS h, court_id, docket_key, decision_date FROM judgment WHERE unreported), r AS (SELECT id, full_text_hash AS h, court_id, docket_key, decision_date FROM judgment WHERE NOT unreported),
+    p AS (SELECT u.id AS probe_id, r.id AS build_id, u.h = r.h AS same FROM u JOIN r USING (court_id, docket_key, decision_date)),
     e AS (SELECT probe_id, count(*) AS n, min(build_id) AS build_id FROM p WHERE same GROUP BY 1), a AS (SELECT probe_id FROM e WHERE n > 1)
     SELECT probe_id, CASE WHEN n = 1 THEN build_id END AS build_id, CASE WHEN n = 1 THEN 'linked' ELSE 'ambiguous' END AS outcome FROM e
     UNION ALL SELECT probe_id, build_id, 'same_identity_different_text' FROM p WHERE NOT same AND probe_id NOT IN (SELECT probe_id FROM a)
-    UNION ALL SELECT u.id, r.id, 'hash_mismatch' FROM u JOIN r ON u.h = r.h WHERE u.court_name IS NOT NULL AND u.decision_year IS NOT NULL AND u.proceeding_type IS NOT NULL
-      AND NOT (coalesce(u.court_name = r.court_name, false) AND coalesce(u.decision_year = r.decision_year, false) AND coalesce(u.proceeding_type = r.proceeding_type, false)) AND u.id NOT IN (SELECT probe_id FROM a)""",
+    UNION ALL SELECT u.id, r.id, 'hash_mismatch' FROM u JOIN r ON u.h = r.h WHERE u.court_id IS NOT NULL AND u.docket_key IS NOT NULL AND u.decision_date IS NOT NULL
+      AND NOT (coalesce(u.court_id = r.court_id, false) AND coalesce(u.docket_key = r.docket_key, false) AND coalesce(u.decision_date = r.decision_date, false)) AND u.id NOT IN (SELECT probe_id FROM a)""",
 )
 def identity_reconcile(spark, sf):
-    """Unreported judgments against reported ones of the same court, year and proceeding."""
-    j = table(spark, sf, "judgment").select("id", F.col("full_text_hash").alias("text_hash"), "court_name", "decision_year", "proceeding_type", "unreported")
-    return reconcile_identity(j.where("unreported"), j.where("not unreported"), ["court_name", "decision_year", "proceeding_type"])
+    """Unreported judgments against reported ones of the same court, docket and date of decision."""
+    j = table(spark, sf, "judgment").select("id", F.col("full_text_hash").alias("text_hash"), "court_id", "docket_key", "decision_date", "unreported")
+    return reconcile_identity(j.where("unreported"), j.where("not unreported"), ["court_id", "docket_key", "decision_date"])
 
 
 _NORM = "lower(trim(regexp_replace(replace(coalesce({0}, ''), chr(160), ' '), '\\s+', ' ', 'g')))"
@@ -35,7 +35,7 @@ _NORM = "lower(trim(regexp_replace(replace(coalesce({0}, ''), chr(160), ' '), '\
 @CORE.query(
     "reconcile_fields",
     f"""WITH m AS (SELECT j.id, j.docket_number AS d1, m.docket_number AS d2, j.full_text, j.confidence_score, j.case_title, j.court_id FROM judgment j JOIN (SELECT judgment_id, min(docket_number) AS docket_number FROM case_metadata GROUP BY 1) m ON m.judgment_id = j.id),
-    e AS (SELECT *, length(left({_NORM.format('d2')}, 80)) > 0 AND contains({_NORM.format('full_text')}, left({_NORM.format('d2')}, 80)) AS ok FROM m),
+    e AS (SELECT *, length({_NORM.format('d2')}) > 0 AND contains({_NORM.format('full_text')}, {_NORM.format('d2')}) AS ok FROM m),
     c AS (SELECT *, coalesce(d1, CASE WHEN ok THEN d2 END) AS docket, coalesce(d1 IS NULL AND d2 IS NOT NULL AND NOT ok, false) AS conflict FROM e)
     SELECT id, docket, conflict, round(greatest(0.0, least(1.0, CASE WHEN case_title IS NOT NULL AND court_id IS NOT NULL THEN confidence_score - 0.1 * conflict::INT ELSE least(confidence_score - 0.1 * conflict::INT, 0.4) END)), 3) AS confidence FROM c""",
 )
@@ -50,7 +50,7 @@ def reconcile_fields(spark, sf):
 
 @CORE.query(
     "headnote_evidence",
-    f"SELECT m.case_id, length(left({_NORM.format('m.headnotes')}, 80)) > 0 AND contains({_NORM.format('j.full_text')}, left({_NORM.format('m.headnotes')}, 80)) AS evidenced FROM case_metadata m JOIN judgment j ON j.id = m.judgment_id WHERE m.headnotes IS NOT NULL",
+    f"SELECT m.case_id, length({_NORM.format('m.headnotes')}) > 0 AND contains({_NORM.format('j.full_text')}, {_NORM.format('m.headnotes')}) AS evidenced FROM case_metadata m JOIN judgment j ON j.id = m.judgment_id WHERE m.headnotes IS NOT NULL",
 )
 def headnote_evidence(spark, sf):
     """Whether a headnote stands in its judgment."""

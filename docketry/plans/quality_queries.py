@@ -8,7 +8,8 @@ from docketry.functions import text as T
 from docketry.functions import urls as U
 from docketry.operators.dedupe import exact_duplicates, longest_wins, provenance
 from docketry.operators.sections import is_fake_number, missing_in_run
-from docketry.plans.registry import CORE
+from docketry.operators.skew import skew_join
+from docketry.plans.registry import CORE, quoted
 from docketry.sources.tables import table
 
 _COLLAPSE = "trim(regexp_replace(replace({0}, chr(160), ' '), '\\s+', ' ', 'g'))"
@@ -40,15 +41,23 @@ def provenance_merge(spark, sf):
     return provenance(p, ["source_name", "content_hash"], "url", "fetched_at")
 
 
-@CORE.query(
-    "name_key_groups",
-    "SELECT regexp_replace(lower(split_part(text, chr(10), 1)), '[^a-z0-9]', '', 'g') AS name_key, count(*) AS n, list_sort(list(doc_id)) AS ids FROM documents WHERE lang = 'en' GROUP BY 1 HAVING count(*) > 1 AND name_key <> ''",
-)
+_FIRST_LINE = "regexp_replace(lower(split_part(coalesce(text, ''), chr(10), 1)), '[^a-z0-9]', '', 'g')"
+
+
+def _named(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", T.name_key(F.split_part(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(1))).alias("name_key")).where("name_key <> ''")
+
+
+@CORE.query("name_key_groups", f"SELECT {_FIRST_LINE} AS name_key, count(*) AS n, min(doc_id) AS group_id FROM documents GROUP BY 1 HAVING count(*) > 1 AND name_key <> ''")
 def name_key_groups(spark, sf):
-    """Documents whose first lines are the same name."""
-    d = table(spark, sf, "documents").where("lang = 'en'").select("doc_id", T.name_key(F.split_part("text", F.lit("\n"), F.lit(1))).alias("name_key")).where("name_key <> ''")
-    g = d.groupBy("name_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return d.join(g, "name_key").groupBy("name_key", "n").agg(F.array_sort(F.collect_list("doc_id")).alias("ids"))
+    """Names that the first lines of several documents share: the key, its documents and the smallest of them, aggregated before the shuffle."""
+    return _named(spark, sf).groupBy("name_key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("group_id")).where("n > 1")
+
+
+@CORE.query("name_key_members", f"SELECT doc_id, group_id FROM (SELECT doc_id, {_FIRST_LINE} AS k, count(*) OVER (PARTITION BY k) AS n, min(doc_id) OVER (PARTITION BY k) AS group_id FROM documents) WHERE n > 1 AND k <> ''")
+def name_key_members(spark, sf):
+    """The documents of the groups, one row each: a common first line is never gathered in one row."""
+    return skew_join(_named(spark, sf), name_key_groups(spark, sf), "name_key", salt_by=F.col("doc_id")).select("doc_id", "group_id")
 
 
 @CORE.query(
@@ -98,8 +107,8 @@ def fake_section_numbers(spark, sf):
 
 @CORE.query(
     "ocr_quality",
-    """SELECT doc_id, round(coalesce(len(regexp_extract_all(text, '\\p{L}')) / nullif(length(text), 0), 0), 6) AS letter_ratio, round(coalesce(len(regexp_extract_all(text, '(?s)Ã.|Â.|â€|Ø.|Ù.|Û.|Ú.')) / nullif(length(text), 0), 0), 6) AS mojibake_density,
-      round(coalesce((length(text) - length(regexp_replace(text, '[A-Za-z]{4,}', '', 'g'))) / nullif(length(text), 0), 0), 6) AS long_word_share, coalesce(regexp_matches(text, '\\?{4,}'), false) AS mojibake_run FROM documents WHERE text IS NOT NULL""",
+    f"""SELECT doc_id, round(coalesce(len(regexp_extract_all(text, '\\p{{L}}')) / nullif(length(text), 0), 0), 6) AS letter_ratio, round(coalesce(len(regexp_extract_all(text, {quoted(T.MOJIBAKE)})) / nullif(length(text), 0), 0), 6) AS mojibake_density,
+      round(coalesce((length(text) - length(regexp_replace(text, '[A-Za-z]{{4,}}', '', 'g'))) / nullif(length(text), 0), 0), 6) AS long_word_share, coalesce(regexp_matches(text, '\\?{{4,}}'), false) AS mojibake_run FROM documents WHERE text IS NOT NULL""",
 )
 def ocr_quality(spark, sf):
     d = table(spark, sf, "documents").where("text is not null")
@@ -114,8 +123,8 @@ _BODY = "trim(coalesce(section_text, ''))"
     "failing_sections",
     f"""WITH b AS (SELECT id, statute_id, {_BODY} AS body FROM statute_section_version),
     m AS (SELECT *, length(body) AS n, len(regexp_extract_all(body, '\\p{{L}}')) / greatest(length(body), 1) AS letters, len(regexp_extract_all(body, '[0-9]')) / greatest(length(body), 1) AS digits,
-      len(regexp_extract_all(body, '(?s)Ã.|Â.|â€|Ø.|Ù.|Û.|Ú.')) / greatest(length(body), 1) AS moji, len(regexp_extract_all(body, chr(65533))) AS lost FROM b),
-    f AS (SELECT *, n >= 40 AND (moji >= 0.012 OR letters < CASE WHEN regexp_matches(body, '(?i)(schedule|tariff|heading|rate of duty)') AND digits > 0.08 THEN 0.12 ELSE 0.28 END OR lost >= 3) AS fails FROM m)
+      len(regexp_extract_all(body, {quoted(T.MOJIBAKE)})) / greatest(length(body), 1) AS moji, len(regexp_extract_all(body, chr(65533))) AS lost FROM b),
+    f AS (SELECT *, n >= 40 AND (moji >= 0.012 OR letters < CASE WHEN regexp_matches(body, {quoted(T.SCHEDULE)}) AND digits > 0.08 THEN 0.12 ELSE 0.28 END OR lost >= 3) AS fails FROM m)
     SELECT statute_id, count(*) AS sections, count(*) FILTER (WHERE fails) AS failing, count(*) FILTER (WHERE fails) > 0.5 * count(*) AS poor FROM f GROUP BY 1""",
 )
 def failing_sections(spark, sf):
@@ -124,11 +133,25 @@ def failing_sections(spark, sf):
     return v.groupBy("statute_id").agg(F.count(F.lit(1)).alias("sections"), F.count_if("fails").alias("failing"), (F.count_if("fails") > 0.5 * F.count(F.lit(1))).alias("poor"))
 
 
-@CORE.query("garbled_documents")
+_LONG = "(length(b) - length(regexp_replace(b, '[A-Za-z]{4,}', '', 'g')))"
+_LETTERS = f"len(regexp_extract_all(b, {quoted(rf'[\p{{L}}{T.ARABIC}{T.PRIVATE}]')}))"
+_SCRIPT = f"len(regexp_extract_all(b, {quoted(f'[{T.ARABIC}{T.PRIVATE}]')}))"
+
+
+@CORE.query(
+    "garbled_documents",
+    rf"""WITH t AS (SELECT doc_id, coalesce(text, '') AS r, trim(coalesce(text, '')) AS b FROM documents),
+    m AS (SELECT *, {_LETTERS} >= 8 AND {_SCRIPT} >= 0.5 * {_LETTERS} AS arabic, regexp_matches(b, {quoted(T.SCHEDULE)}) AND len(regexp_extract_all(b, '[0-9]')) > 0.08 * length(b) AS schedule,
+      len(regexp_extract_all(r, {quoted(T.READABLE)})) AS readable, len(regexp_extract_all(r, '[\p{{C}}\p{{Z}}]')) - len(regexp_extract_all(r, {quoted(f'[ {T.PRIVATE}]')})) AS odd FROM t)
+    SELECT doc_id, length(b) >= 80 AND NOT arabic AND NOT schedule AND 1 - {_LONG} / length(b) > 0.75 AS garbled, arabic,
+      arabic OR (length(b) >= 40 AND {_LONG} >= 12 AND 1 - {_LONG} / length(b) <= 0.75) AS readable,
+      regexp_matches(r, '\S') AND (contains(left(r, 32), {quoted(T.JPEG_HEAD)}) OR starts_with(r, {quoted(T.PNG_HEAD)}) OR readable < length(r) * CASE WHEN regexp_matches(r, {quoted(T.IMAGE_NAMES)}) THEN 0.85 WHEN length(r) >= 8 THEN 0.5 ELSE 0 END
+        OR (length(r) >= 32 AND odd > 0.2 * length(r))) AS binary FROM m""",
+)
 def garbled_documents(spark, sf):
-    """Garbled, binary and Arabic-script verdicts of documents."""
+    """Garbled, binary, readable and Arabic-script verdicts of documents."""
     t = F.col("text")
-    return table(spark, sf, "documents").select("doc_id", T.is_garbled(t).alias("garbled"), T.is_binary_garbage(t).alias("binary"), (T.arabic_share(t) >= 0.5).alias("arabic"))
+    return table(spark, sf, "documents").select("doc_id", T.is_garbled(t).alias("garbled"), T.is_binary_garbage(t).alias("binary"), T.is_arabic_script(F.trim(F.coalesce(t, F.lit("")))).alias("arabic"), T.has_readable_words(t).alias("readable"))
 
 
 @CORE.query(
@@ -216,9 +239,22 @@ def backoff(spark, sf):
     return table(spark, sf, "lineitem").select(F.col("l_linenumber").alias("attempts")).distinct().select("attempts", U.backoff_seconds(F.col("attempts")).alias("seconds"))
 
 
-@CORE.query("secret_flags", "SELECT work_id, regexp_matches(obj_json, '(?i)(?:api[_-]?key|apikey|secret|password|passwd|pwd|token)\\s*[=:]\\s*[\"'']?[^\\s''\"&;]{6,}') AS has_secret FROM judgment_upload_work")
+@CORE.query("secret_flags", "SELECT work_id, " + " OR ".join(f"coalesce(regexp_matches(obj_json, {quoted(x)}), false)" for x in T.secret_shapes()) + " AS has_secret FROM judgment_upload_work")
 def secret_flags(spark, sf):
-    return table(spark, sf, "judgment_upload_work").select("work_id", F.coalesce(F.col("obj_json").rlike("(?i)(?:api[_-]?key|apikey|secret|password|passwd|pwd|token)\\s*[=:]\\s*[\"']?[^\\s'\"&;]{6,}"), F.lit(False)).alias("has_secret"))
+    return table(spark, sf, "judgment_upload_work").select("work_id", T.contains_secret(F.col("obj_json")).alias("has_secret"))
+
+
+def _scrubbed(column: str) -> str:
+    for x in T.secret_shapes():
+        column = f"regexp_replace({column}, {quoted(x)}, '\\1[REDACTED]', 'g')"
+    return column
+
+
+@CORE.query("secrets_scrubbed", f"SELECT work_id, {_scrubbed('said')} AS said FROM (SELECT work_id, concat('Authorization: Bearer ', work_id, '.abc', chr(10), 'csrf_token=', target_id, '&page=2 sid: ', replace(target_id, '-', ''), ' ', obj_json) AS said FROM judgment_upload_work)")
+def secrets_scrubbed(spark, sf):
+    """Payloads behind a login header and tokens, with the secrets taken out."""
+    said = F.concat(F.lit("Authorization: Bearer "), F.col("work_id").cast("string"), F.lit(".abc\ncsrf_token="), F.col("target_id"), F.lit("&page=2 sid: "), F.replace("target_id", F.lit("-"), F.lit("")), F.lit(" "), F.col("obj_json"))
+    return table(spark, sf, "judgment_upload_work").select("work_id", T.scrub_secrets(said).alias("said"))
 
 
 @CORE.query("payload_fields", "SELECT work_id, json_extract_string(obj_json, '$.key') AS object_key, CAST(json_extract_string(obj_json, '$.bytes') AS BIGINT) AS bytes, coalesce(CAST(json_extract_string(obj_json, '$.retry') AS INTEGER), 0) AS retry FROM judgment_upload_work")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docketry.functions import text as T
-from docketry.functions.citations import citation_key
+from docketry.functions.citations import citation_key, key_sql
 from docketry.operators.identity import resolve_unique
 from docketry.operators.visibility import page, quarantined, servable
 from docketry.plans.registry import CORE
@@ -106,10 +106,12 @@ def get_statute_sections(spark, sf):
     return cur.join(s, "statute_id").select("name", "section_number", F.col("c.effective_from").alias("effective_from"), F.col("c.chars").alias("chars"))
 
 
-_KEYSQL_NOTE = "lookups by key go through citation_key, which has its own tests"
-
-
-@CORE.query("verify_citations")
+@CORE.query(
+    "verify_citations",
+    f"""WITH e AS (SELECT case_id, {key_sql('citation')} AS key, list_sort(list_distinct(list_filter(list_transform(coalesce(parallel_citations, []), lambda x: {key_sql('x')}), lambda k: k IS NOT NULL))) AS alternates FROM enumerated_case),
+    h AS (SELECT {key_sql('canonical_citation')} AS key, min(id) AS judgment_id FROM judgment GROUP BY 1)
+    SELECT case_id, e.key, alternates, judgment_id, judgment_id IS NOT NULL AS found FROM e LEFT JOIN h ON h.key = e.key WHERE e.key IS NOT NULL""",
+)
 def verify_citations(spark, sf):
     """For every listed citation whether a judgment is held under it, with the alternates that are listed beside it."""
     e = table(spark, sf, "enumerated_case").select("case_id", citation_key(F.col("citation")).alias("key"), F.array_sort(F.array_distinct(F.filter(F.transform(F.coalesce("parallel_citations", F.array().cast("array<string>")), citation_key), lambda k: k.isNotNull()))).alias("alternates"))

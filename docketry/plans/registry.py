@@ -28,4 +28,9 @@ class Registry:
         return add
 
 
+def quoted(pattern: str) -> str:
+    """A pattern as an SQL string."""
+    return "'" + pattern.replace("'", "''") + "'"
+
+
 CORE = Registry()

@@ -129,10 +129,16 @@ def debounced_requests(spark, sf):
     return table(spark, sf, "events").groupBy("user_id", F.window("ts", "10 minutes").alias("w")).agg(F.min("event_id").alias("event_id")).select("user_id", F.col("w.start").alias("slot"), "event_id")
 
 
-@CORE.query("approximate_statistics")
+@CORE.query("approximate_statistics", "SELECT l_returnflag, count(DISTINCT l_partkey) AS parts, true AS parts_near, count(DISTINCT l_suppkey) AS suppliers, true AS suppliers_near, true AS median_near FROM lineitem GROUP BY 1")
 def approximate_statistics(spark, sf):
-    """Sketches beside the exact figures."""
-    return table(spark, sf, "lineitem").groupBy("l_returnflag").agg(F.approx_count_distinct("l_partkey").alias("parts"), F.percentile_approx("l_extendedprice", 0.5, 1000).alias("median"), F.hll_sketch_estimate(F.hll_sketch_agg("l_suppkey")).alias("suppliers"))
+    """Sketches beside the exact figures, and whether they are within their bounds: 15 % for distinct counts, half a per cent of the rows for the median."""
+    li = table(spark, sf, "lineitem")
+    sketch = li.groupBy("l_returnflag").agg(F.approx_count_distinct("l_partkey").alias("p"), F.percentile_approx("l_extendedprice", 0.5, 1000).alias("m"), F.hll_sketch_estimate(F.hll_sketch_agg("l_suppkey")).alias("s"))
+    exact = li.join(F.broadcast(sketch.select("l_returnflag", "m")), "l_returnflag").groupBy("l_returnflag").agg(
+        F.count_distinct("l_partkey").alias("parts"), F.count_distinct("l_suppkey").alias("suppliers"), F.count_if(F.col("l_extendedprice") < F.col("m")).alias("below"), F.count_if(F.col("l_extendedprice") > F.col("m")).alias("above"), F.count(F.lit(1)).alias("n")
+    )
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= 0.15 * F.col(b)
+    return exact.join(sketch, "l_returnflag").select("l_returnflag", "parts", near("p", "parts").alias("parts_near"), "suppliers", near("s", "suppliers").alias("suppliers_near"), (F.greatest("below", "above") <= 0.505 * F.col("n") + 1).alias("median_near"))
 
 
 @CORE.query("exact_quantiles", "SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.5), 4) AS p50, round(quantile_cont(l_extendedprice, 0.9), 4) AS p90, count(DISTINCT l_partkey) AS parts, round(stddev_samp(l_quantity), 6) AS sd, round(corr(l_quantity, l_extendedprice), 6) AS r FROM lineitem GROUP BY 1")

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docketry.operators.timelines import gaps, streaks
+from docketry.operators.timelines import gaps, streak_summary
 from docketry.plans.registry import CORE
 from docketry.sources.tables import table
 
@@ -169,8 +169,8 @@ def gap_report(spark, sf):
 def miss_streaks(spark, sf):
     """Runs of failed captures per source, and whether one is long enough to close the source."""
     p = table(spark, sf, "page_result").select("source_name", "fetched_at", "page_id", "status")
-    s = streaks(p, ["source_name"], [F.asc_nulls_first("fetched_at"), "page_id"], F.col("status").isNull() | (F.col("status") >= 400))
-    return s.groupBy("source_name").agg(F.count(F.lit(1)).alias("streaks"), F.max("length").alias("longest"), (F.max("length") >= 3).alias("closed"))
+    s = streak_summary(p, ["source_name"], F.trunc("fetched_at", "month"), [F.asc_nulls_first("fetched_at"), "page_id"], F.col("status").isNull() | (F.col("status") >= 400))
+    return s.select("source_name", "streaks", "longest", (F.col("longest") >= 3).alias("closed"))
 
 
 @CORE.query(

@@ -27,9 +27,39 @@ def windowed_counts(events: DataFrame, at: str, key: str, window: str, delay: st
     return events.withWatermark(at, delay).groupBy(F.window(at, window).alias("w"), key).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), key, "n")
 
 
-def debounce(events: DataFrame, keys: list[str], at: str, delay: str) -> DataFrame:
-    """At most one row per key while an equal one is within the watermark's delay."""
-    return events.withWatermark(at, delay).dropDuplicatesWithinWatermark(keys)
+def debounce(events: DataFrame, keys: list[str], at: str, order: str, seconds: int) -> DataFrame:
+    """The rows (keys, order, at) that are let through: those at least ``seconds`` after the last of their key that was.
+
+    The state of a key is one time, however many rows it has; rows of a batch are taken in time order, ties by ``order``.
+    """
+    kinds = dict(events.dtypes)
+
+    def pass_through(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last = state.get[0] if state.exists else None
+        rows = pd.concat(list(batches)).sort_values([at, order], kind="stable")
+        kept = []
+        for n, t in enumerate(rows[at].astype("datetime64[us]").astype("int64")):
+            if last is None or t - last >= seconds * 1_000_000:
+                kept.append(n)
+                last = int(t)
+        if last is not None:
+            state.update((last,))
+        yield rows.iloc[kept][[*keys, order, at]]
+
+    schema = ", ".join(f"{c} {kinds[c]}" for c in [*keys, order, at])
+    return events.where(F.col(at).isNotNull()).groupBy(*keys).applyInPandasWithState(pass_through, schema, "last bigint", "append", GroupStateTimeout.NoTimeout)
+
+
+def in_slices(df: DataFrame, at: str, slices: int, name: str) -> str:
+    """The rows written to the shared folder in ``slices`` files of equal spans of time, oldest first, for a stream to read one a batch; the folder."""
+    target = f"{ensure_checkpoint_dir(df.sparkSession)}/streams/{name}"
+    t = F.unix_micros(F.col(at).cast("timestamp"))
+    low, high = df.agg(F.min(t), F.max(t)).first()
+    span = ((high or 0) - (low or 0)) // slices + 1
+    for k in range(slices):
+        part = df.where(F.coalesce(F.floor((t - F.lit(low or 0)) / span), F.lit(0)) == k) if low is not None else df
+        part.withColumn("slice", F.lit(k)).coalesce(1).write.mode("append").parquet(target)
+    return target
 
 
 def miss_streaks(events: DataFrame, key: str, order: str, miss: str, close_at: int) -> DataFrame:

@@ -28,19 +28,25 @@ def test_text(spark):
 
 def test_quality(spark):
     prose = "The officer in charge shall report the matter to the board without delay."
-    moji = "Ø§Ù„Ù" * 20
+    moji = "The Ã©tat of Â§ 4 and â€œthe" * 3
     assert values(spark, [prose, moji, "12345 67.8 " * 20, "Tariff heading " + "1234 " * 15, "short", None, "���" + prose], T.fails_ocr_quality) == [False, True, True, False, False, False, True]
+    schedule = "12 34.5 67 89.1 " * 8
+    assert values(spark, ["Rescheduled " + schedule, "Customs duty " + schedule, "Heading No " + schedule], T.is_schedule) == [False, True, True]
     assert values(spark, [prose * 2, "a b c d e f g " * 20, "عدالت نے قرار دیا کہ " * 10, "", None], T.is_garbled) == [False, True, False, False, False]
-    assert values(spark, [prose, "\x00\x01\x02" * 20, "", None], T.is_binary_garbage) == [False, True, False, False]
+    rows = [prose, "\x00\x01\x02" * 20, "", None, "\u00ff\u00d8\u00ff\u00e0 short", "\u0089PNG and " + prose, prose + " JFIF", "abcde JFIF \u00ff\u00fe\u00ff", "\ue012\ue044 \ue100", "\u00e9" * 9 + "ab"]
+    assert values(spark, rows, T.is_binary_garbage) == [False, True, False, False, True, True, False, True, False, True]
+    assert values(spark, [prose, "short words", "a b c d e f g " * 20, "\ue012\ue044\ue100\ue101\ue102\ue103\ue104\ue105", "عدالت", None], T.has_readable_words) == [True, False, False, True, False, False]
+    assert values(spark, ["عدالت نے قرار", "عدالت", "\ue012" * 8, prose, None], T.is_arabic_script) == [True, False, True, False, False]
     assert values(spark, ["a ???? b", "a ??? b", None], T.has_mojibake_run) == [True, False, False]
     assert values(spark, ["عدالت", "abc", "", None], T.arabic_share) == [1.0, 0.0, 0.0, 0.0]
 
 
 def test_secrets(spark):
-    rows = ["password = hunter22x rest", "api_key: abcdef123", "Authorization: Bearer abc.def", "plain text", None, "AKIA" + "A" * 16]
-    assert values(spark, rows, T.contains_secret) == [True, True, True, False, False, True]
+    rows = ["password = hunter22x rest", "api_key: abcdef123", "Authorization: Bearer abc.def", "plain text", None, "AKIA" + "A" * 16, "Set-Cookie: a=b", "xsrf-token: abcdef12", "ASP.NET_SessionId=abc123def", "authtoken = 1234567", "sgai-" + "a1-" * 6, "sid: 12345", "inside: 1234567"]
+    assert values(spark, rows, T.contains_secret) == [True, True, True, False, False, True, True, True, True, True, True, False, False]
     got = values(spark, rows, T.scrub_secrets)
-    assert got[0] == "password = [redacted] rest" and got[3] == "plain text" and got[4] is None and got[5] == "[redacted]"
+    assert got[0] == "password = [REDACTED] rest" and got[3] == "plain text" and got[4] is None and got[5] == "[REDACTED]" and got[6] == "Set-Cookie: [REDACTED]"
+    assert got[2] == "Authorization: [REDACTED]" and got[10] == "[REDACTED]"
 
 
 def test_snippet(spark):
@@ -77,9 +83,24 @@ def test_html(spark):
 def test_legal(spark):
     assert values(spark, [0, 1, 2, 4, 9, None], L.bench_type, "int") == [None, "single", "division", "full", "larger", None]
     assert values(spark, ["Mr. Justice ALI BAIG, J", "Hon'ble Justice Omar Khan, C.J.", "", None], L.judge_name) == ["Ali Baig", "Omar Khan", "", None]
-    rows = ["W.P. No. 12 of 1999", "Cr.A. No. 3 of 2001", "C.R. No. 9", "Bail Application 3", "", None]
-    assert values(spark, rows, L.proceeding_type) == ["constitutional_petition", "criminal_appeal", "civil_revision", "bail", "other", "other"]
+    kinds = {
+        "W.P. No. 12 of 1999": "constitutional_petition", "Cr.A. No. 3 of 2001": "criminal_appeal", "Bail Application 3": "bail", "Crl. Misc. No. 12-B/2011": "bail", "Murder Reference No. 4 of 2010": "criminal_reference",
+        "M.R. No. 8 of 2012": "criminal_reference", "I.T.R. No. 3 of 2001": "tax_reference", "Sales Tax Reference 9": "tax_reference", "Execution Petition 4": "execution", "Transfer Application No. 2": "transfer", "C.P.L.A. No. 4": "leave_to_appeal",
+        "I.C.A. 12 of 2004": "intra_court_appeal", "R.F.A. No. 9 of 1990": "civil_appeal", "Civil Revision 77": "civil_revision", "Cr.R. No. 5": "criminal_revision", "C.P. No. 5 of 2001": "constitutional_petition", "under section 12 C.P.C.": "other",
+        "Criminal Misc. 7": "criminal_miscellaneous", "C.M.A. No. 7": "civil_miscellaneous", "Suit No. 3": "civil_suit", "Habeas petition": "habeas_corpus", "Review Petition 3": "review", "Contempt 4": "contempt", "": "other",
+    }
+    assert values(spark, [*kinds, None], L.proceeding_type) == [*kinds.values(), "other"]
+    assert values(spark, ["Civil suit heard", None], lambda c: L.proceeding_type(F.lit("No. 4"), c)) == ["civil_suit", "other"]
+    said = {
+        "That view stands over-ruled and the rule is no longer good law": "overruled", "It was per incuriam": "per_incuriam", "which distinguishes the judgment": "distinguished", "can be distinguished on facts": "distinguished", "We declined to follow it": "not_followed",
+        "we respectfully dissent": "dissented_from", "affirmed in appeal and followed": "followed", "affirmed in appeal": "approved", "relying upon the case": "relied_upon", "placed reliance on": "relied_upon", "reference may be made to": "referred", "unrelied": None,
+    }
+    assert [g and g["label"] for g in values(spark, list(said), L.best_treatment)] == list(said.values())
     got = values(spark, ["it was overruled and relied upon", "relied upon", "nothing", None], L.best_treatment)
     assert [g and g["label"] for g in got] == ["overruled", "relied_upon", None, None]
     assert values(spark, ["12-A", "1947", "", "x", None], L.section_integer) == [12, 1947, None, None, None]
     assert values(spark, ["1947", "194", None], L.is_year_section) == [True, False, False]
+    assert values(spark, [" 12-a. ", "7 B", "", None], L.section_token) == ["12-A", "7B", "", None]
+    day = spark.createDataFrame([(dt.date(2019, 3, 5), "heard on 5 March 2019"), (dt.date(2019, 3, 6), "heard on 5 March 2019"), (None, "5 March 2019"), (dt.date(2019, 3, 5), None)], "d date, t string")
+    assert [r[0] for r in day.select(D.date_in_text(F.col("d"), F.col("t"))).collect()] == [True, False, False, False]
+    assert values(spark, [b"\xff\xd8\xff\xe0", b"\x89PNG\r\n", b"GIF89a", b"text", None], U.is_image_bytes, "binary") == [True, True, True, False, None]

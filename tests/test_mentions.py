@@ -33,30 +33,40 @@ def test_windows(spark):
     assert [c["family"] for c in spark.createDataFrame([(text,), (None,)], "t string").select(S.citation_spans(F.col("t")).alias("c")).first()["c"]] == ["PLD"]
 
 
-def test_mojibake_and_tails():
+def column(spark, rows, fn, kind="string"):
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(rows)], f"i int, x {kind}")
+    return [r[0] for r in df.orderBy("i").select(fn(F.col("x")).alias("y")).collect()]
+
+
+def test_mojibake_and_tails(spark):
     body = "The petition is allowed in these terms.\nSd/-"
-    assert N.mojibake_class_of(body) == "none" and N.mojibake_class_of(None) == "none"
-    assert N.mojibake_class_of(body + "\n????? ???? ??\n\n????") == "headnote"
-    assert N.mojibake_class_of("The ???? petition was heard\n" + body) == "body"
-    assert N.strip_lost_tail_of(body + "\n????? ????\n\n") == body
+    plain = "The petition is allowed in these terms."
+    cases = {
+        body: "none", body + "\n????? ???? ??\n\n????": "headnote", "The ???? petition was heard\n" + body: "body", body + "\nThe ???? order of the court": "body", body + "\n????\n12": "body", body + "\nعدالت نے\n????": "headnote",
+        plain + "\n????": "headnote", plain + "\n????\n" + plain: "body", "????\n????": "headnote", body + "\n???? appearance": "body", body + "\n???? 1234567890123456": "body", "": "none",
+    }
+    assert column(spark, [*cases, None], N.mojibake_class) == [*cases.values(), "none"]
+    rows = [body + "\n????? ????\n\n", plain + "\n????\n", body + "\n????\nThe ???? order of the court\n????", plain, "", None]
+    assert column(spark, rows, N.strip_lost_tail) == [body + "\n", plain + "\n", body + "\nThe ???? order of the court", plain, "", ""]
     notice = "It is ordered so.\nA copy is forwarded to:\n1. The Secretary, Law Department.\n2. Director, Archives."
-    assert N.strip_distribution_of(notice) == "It is ordered so."
-    assert N.strip_distribution_of("A copy is forwarded to the parties who shall appear.\nThe case goes on.") == "A copy is forwarded to the parties who shall appear.\nThe case goes on."
+    other = "A copy is forwarded to the parties who shall appear.\nThe case goes on."
+    assert column(spark, [notice, other, "", None], N.strip_distribution) == ["It is ordered so.", other, "", None]
 
 
-def test_numerals_and_runs():
-    assert [N.numeral_of(x) for x in ("XIV", "iv", "12", "IIII", "abc", "", None)] == [14, 4, 12, None, None, None, None]
+def test_numerals_and_runs(spark):
+    assert column(spark, ["XIV", "iv", "12", "IIII", "abc", "", "0", None], N.numeral) == [14, 4, 12, 4, None, None, 0, None]
     assert N.rising_end_of([3, 1, 2, 9, 4, 5]) == 5 and N.rising_end_of([]) == 0 and N.rising_end_of([None, 7]) == 7
     assert N.similarity_of("a  b", "a b") == 1.0 and N.similarity_of(None, "x") == 0.0
-    assert N.bench_of("IN THE COURT\nCoram: Mr. Justice Ali Baig and Omar Khan, JJ\nORDER") == ["Ali Baig", "Omar Khan"]
-    assert N.bench_of(None) == []
+    many = "Before: " + ", ".join(f"Justice Name{chr(65 + i)} Khan" for i in range(9))
+    got = column(spark, ["IN THE COURT\nCoram: Mr. Justice Ali Baig and Omar Khan, JJ\nORDER", "x" * 9000 + "\n" + many, "no line", None], N.bench)
+    assert got[0] == ["Ali Baig", "Omar Khan"] and len(got[1]) == 9 and got[2:] == [[], []]
 
 
 def test_titles(spark):
     rows = [("Excise Duty Act, 1958", "The Excise Duty Act 1958"), ("Excise Duty Act, 1958", "Excise Duty Act, 1960"), ("Excise Duty Act, 1958", "Town Planning Act, 1958"), ("The Act", "Town Planning Act"), (None, "x y")]
     df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(rows)], "i int, a string, b string").orderBy("i")
     assert [r[0] for r in df.select(N.title_relation(F.col("a"), F.col("b"))).collect()][:4] == ["same", "year_differs", "different", "unknown"]
-    assert spark.createDataFrame([("1lyas Ajma1 of 1958",)], "n string").select(N.ocr_name(F.col("n"))).first()[0] == "llyas Ajmal of 1958"
+    assert column(spark, ["1lyas Ajma1 of 1958", "11yas", None], N.ocr_name) == ["Ilyas Ajmal of 1958", "Ilyas", None]
     got = spark.createDataFrame([("a b", "a  b"), (None, "x")], "a string, b string").select(N.similarity(F.col("a"), F.col("b"))).collect()
     assert [r[0] for r in got] == [1.0, 0.0]
 

@@ -7,7 +7,7 @@ from docketry.operators.dedupe import exact_duplicates, longest_wins, provenance
 from docketry.operators.identity import reconcile_identity, resolve_unique
 from docketry.operators.sections import carry_forward_merge, fuller_text_wins, is_fake_number, missing_in_run, reextract_gate, split_sections
 from docketry.operators.staging import confidence, outcomes, reconcile
-from docketry.operators.timelines import gaps, nearest_before, streaks
+from docketry.operators.timelines import gaps, nearest_before, number_gaps, streak_summary, streaks
 from docketry.operators.vectors import cosine_topk
 from docketry.operators.visibility import quarantined, servable
 
@@ -74,6 +74,11 @@ def test_sections(spark):
 def test_timelines(spark):
     e = spark.createDataFrame([("a", i, m) for i, m in enumerate([True, True, False, True, None, True, True, True])], "k string, o int, m boolean")
     assert rows(streaks(e, ["k"], ["o"], F.col("m"))) == [("a", 1, 2), ("a", 2, 1), ("a", 3, 3)]
+    for width in (1, 2, 3, 5, 100):  # the summary is the same however the rows are cut
+        long = e.unionByName(spark.createDataFrame([("b", i, True) for i in range(7)] + [("c", 1, False)], e.schema))
+        assert rows(streak_summary(long, ["k"], F.floor(F.col("o") / width), ["o"], F.col("m"))) == [("a", 3, 3), ("b", 1, 7)]
+        g = spark.createDataFrame([("a", n) for n in (1, 2, 3, 7, 8, 9, 20)] + [("b", 5), ("b", None)], "k string, n int")
+        assert {tuple(r) for r in number_gaps(g, "k", "n", width).collect()} == {("a", 3, 7), ("a", 9, 20), ("a", 20, None), ("b", 5, None)}
     assert rows(gaps(e.where("o in (0, 1, 5, 7)"), ["k"], "o", 2)) == [("a", 1, 5)]
     left = spark.createDataFrame([("a", 5, 1), ("a", 2, 2), ("b", 9, 3)], "k string, t int, id int")
     right = spark.createDataFrame([("a", 2, 20), ("a", 4, 40), ("a", 5, 50)], "k string, t int, v int")
@@ -119,5 +124,5 @@ def test_citation_keys_of_all_reporters(spark, tmp_path):
         m = re.fullmatch(r"(\d{4}) (\w+) (\d+)", cite or "")
         return f"{m[2].upper()}:{m[1]}::{int(m[3])}" if m else None
 
-    got = {r["id"]: r["k"] for r in CORE.queries["citation_keys_all"](spark, str(tmp_path)).collect()}
+    got = {r["id"]: r["k"] for r in CORE.queries["citation_keys"](spark, str(tmp_path)).collect()}
     assert got == {f"j{i}": key(c) for i, c in enumerate(cites)}

@@ -26,9 +26,9 @@ def test_windows_and_late_rows(spark, tmp_path):
 
 
 def test_debounce_and_insert(spark, tmp_path):
-    s = feed(spark, tmp_path, [[(at(1), "a"), (at(2), "a"), (at(2), "b")], [(at(3), "a")]], "ts timestamp, k string")
-    out = run_available(debounce(s, ["k"], "ts", "10 minutes"), "d", uuid.uuid4().hex)
-    assert sorted(r["k"] for r in spark.read.parquet(out).collect()) == ["a", "b"]
+    s = feed(spark, tmp_path, [[(1, at(1), "a"), (2, at(5), "a"), (3, at(2), "b"), (4, at(11), "a")], [(5, at(20), "a"), (6, at(21), "a"), (7, at(22), "b"), (8, None, "c")]], "n int, ts timestamp, k string")
+    out = run_available(debounce(s, ["k"], "ts", "n", 600), "d", uuid.uuid4().hex)
+    assert sorted(r["n"] for r in spark.read.parquet(out).collect()) == [1, 3, 4, 6, 7]
     target = str(tmp_path / "table")
     for batch in (["x", "y", "y", None], ["y", "z"], ["y", "z"]):
         insert_if_absent(spark.createDataFrame([(b,) for b in batch], "k string"), target, "k")
