@@ -17,10 +17,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketry.llm.components import connected_components
+from docketry.operators.skew import skew_join
 from docketry.session import checkpointed, shuffle_width
 
-#: Radius of the join and pivots of the partition; the pivots are a bounded sample, the forms with the smallest hashes.
-RADIUS, PIVOTS = 1, 32
+#: Radius of the join; pivots at a time, a bounded sample, the forms with the smallest hashes; levels of pivots, each with rings
+#: between, through which a cell is parted until it has at most CELL forms; width of a ring.
+RADIUS, PIVOTS, LEVELS, CELL, RING = 1, 16, 4, 20_000, 4
 #: A given name is common from this share of the forms and this count on: at most 3 / share can be, as forms have few parts.
 COMMON_SHARE, COMMON_LEAST = 0.005, 8
 
@@ -175,28 +177,29 @@ def distance(a: str, b: str) -> int:
 
 def distances(one: str, many: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """``distance`` of one string to many at once; ``many`` has their codes, padded with 0, one string a row."""
-    n, width = len(one), many.shape[1]
-    count = len(many)
+    n, (count, width) = len(one), many.shape
+    letters, seen = np.unique(many, return_inverse=True)
+    seen = seen.reshape(many.shape)
+    number = {int(c): i for i, c in enumerate(letters)}
+    codes = np.frombuffer(one.encode("utf-32-le"), np.uint32)
     big = n + width
     d = np.full((n + 2, width + 2, count), big, np.int16)
     d[1:, 1, :] = np.arange(n + 1)[:, None]
     d[1, 1:, :] = np.arange(width + 1)[:, None]
-    codes = np.frombuffer(one.encode("utf-32-le"), np.uint32)
     cols = np.arange(count)
-    last = {}
+    last = np.zeros(len(letters), np.int64)  # the row of the last equal letter of ``one``, by letter
     for i in range(1, n + 1):
         at = np.zeros(count, np.int64)
         for j in range(1, width + 1):
-            ch = many[:, j - 1]
-            same = ch == codes[i - 1]
-            k = np.zeros(count, np.int64)
-            for c, row in last.items():
-                k[ch == c] = row
+            same = many[:, j - 1] == codes[i - 1]
+            k = last[seen[:, j - 1]]
             value = np.minimum(np.minimum(d[i, j] + (~same), d[i + 1, j] + 1), d[i, j + 1] + 1)
-            swap = d[k, at, cols] + (i - k - 1) + 1 + (j - at - 1)
-            d[i + 1, j + 1] = np.minimum(value, swap)
+            if k.any():
+                value = np.minimum(value, d[k, at, cols] + (i - k - 1) + 1 + (j - at - 1))
+            d[i + 1, j + 1] = value
             at = np.where(same, j, at)
-        last[codes[i - 1]] = i
+        if int(codes[i - 1]) in number:
+            last[number[int(codes[i - 1])]] = i
     return d[n + 1, lens + 1, cols].astype(np.int32)
 
 
@@ -286,36 +289,99 @@ def plausible(a: str, b: str, common: frozenset[str]) -> bool:
     return True
 
 
-def radius_links(forms: DataFrame, common: frozenset[str]) -> DataFrame:
+def _near_pivots(pivots: list[str], forms: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, pivot, home) of the cells of forms: home with the nearest pivot, repeated at every pivot that is not farther than
+    the nearest by more than twice the radius, for only there can a partner be at home."""
+    codes, lens = encode(forms)
+    far = np.stack([distances(p, codes, lens) for p in pivots])
+    cell, row = np.nonzero(far <= far.min(axis=0) + 2 * RADIUS)
+    return row, cell, far.argmin(axis=0)[row] == cell
+
+
+def _rings(far: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, ring, home) of forms at distances ``far`` from one pivot: home in the ring of their distance, repeated in the next one within the radius."""
+    rings = np.stack([(far + s) // width for s in (-RADIUS, 0, RADIUS)])
+    row = np.concatenate([np.arange(len(far))] * 3)
+    cell = rings.ravel()
+    pairs = np.unique(np.stack([row, cell]), axis=1)
+    return pairs[0], pairs[1], far[pairs[0]] // width == pairs[1]
+
+
+def radius_links(forms: DataFrame, common: frozenset[str], most: int = CELL) -> DataFrame:
     """(kind, a, b) of the forms (name_kind, form) within RADIUS of each other, by metric-space partitioning.
 
-    A form is at home with its nearest pivot; it is repeated in the cell of every pivot that is not farther than the
-    nearest by more than twice the radius, for only there can a partner be at home. The cells' joins are exact.
+    Forms are parted by their nearest pivot. A cell of more than ``most`` forms is parted again: into rings around the empty
+    string (the distance from which is the length), then by the nearest of other pivots, into rings around another one, and so
+    on through the LEVELS. The triangle inequality tells at each level where a form must be repeated, so that no pair is lost
+    at any. The join of a cell is exact. Cells that no level makes small are joined by their deletions over all executors.
     """
     spark = forms.sparkSession
-    pivots = [r["form"] for r in forms.select("form").distinct().orderBy(F.xxhash64("form"), "form").limit(PIVOTS).collect()]
-    schema = "name_kind string, cell int, home boolean, form string"
-    if not pivots:
-        return spark.createDataFrame([], "name_kind string, a string, b string")
-
-    def place(batches):
-        for batch in batches:
-            if not len(batch):
-                continue
-            codes, lens = encode(list(batch["form"]))
-            far = np.stack([distances(p, codes, lens) for p in pivots])
-            near = far.min(axis=0)
-            first = far.argmin(axis=0)
-            cell, row = np.nonzero(far <= near + 2 * RADIUS)
-            yield pd.DataFrame({"name_kind": batch["name_kind"].to_numpy()[row], "cell": cell.astype("int32"), "home": first[row] == cell, "form": batch["form"].to_numpy()[row]})
+    empty = "name_kind string, a string, b string"
+    picked = [r["form"] for r in forms.select("form").distinct().orderBy(F.xxhash64("form"), "form").limit(PIVOTS * LEVELS).collect()]
+    if not picked:
+        return spark.createDataFrame([], empty)
+    sets = [picked[k * PIVOTS : (k + 1) * PIVOTS] or picked[:PIVOTS] for k in range(LEVELS)]
+    schema = "name_kind string, cell string, home boolean, form string"
+
+    def parted(level: int):
+        def part(batches):
+            for batch in batches:
+                if not len(batch):
+                    continue
+                names = list(batch["form"])
+                if level % 2 == 0:
+                    row, cell, home = _near_pivots(sets[level // 2], names)
+                else:
+                    lens = np.array(list(map(len, names)))
+                    row, cell, home = _rings(lens if level == 1 else distances(sets[level // 2][0], *encode(names)), RING)
+                whole = batch.iloc[row]
+                yield pd.DataFrame({"name_kind": whole["name_kind"].to_numpy(), "cell": [f"{c}/{k}" for c, k in zip(whole["cell"], cell)], "home": whole["home"].to_numpy() & home, "form": whole["form"].to_numpy()})
+
+        return part
 
     def join(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates("form")
+        rows = rows.sort_values("home", ascending=False).drop_duplicates("form")
         links = [p for p in cell_links(list(rows["form"]), list(rows["home"])) if plausible(*p, common)]
         return pd.DataFrame({"name_kind": [rows["name_kind"].iloc[0]] * len(links), "a": [a for a, _ in links], "b": [b for _, b in links]}, dtype=object)
 
-    placed = forms.select("name_kind", "form").distinct().repartition(shuffle_width(spark)).mapInPandas(place, schema)
-    return placed.repartition(shuffle_width(spark), "name_kind", "cell").groupBy("name_kind", "cell").applyInPandas(join, "name_kind string, a string, b string").distinct()
+    width = shuffle_width(spark)
+    todo = forms.select("name_kind", F.lit("").alias("cell"), F.lit(True).alias("home"), "form").distinct().repartition(width)
+    found = []
+    for level in range(2 * LEVELS):
+        placed = checkpointed(todo.mapInPandas(parted(level), schema))
+        sizes = placed.groupBy("name_kind", "cell").agg(F.count(F.lit(1)).alias("n"))
+        small = placed.join(sizes.where(F.col("n") <= most), ["name_kind", "cell"], "left_semi")
+        found.append(small.repartition(width, "name_kind", "cell").groupBy("name_kind", "cell").applyInPandas(join, empty))
+        large = sizes.where(F.col("n") > most)
+        if large.isEmpty():
+            break
+        todo = placed.join(large, ["name_kind", "cell"], "left_semi").select("name_kind", "cell", "home", "form").repartition(width)
+    else:
+        found.append(_joined_by_deletions(todo, common))
+    out = found[0]
+    for other in found[1:]:
+        out = out.unionByName(other)
+    return out.distinct()
+
+
+def _joined_by_deletions(rows: DataFrame, common: frozenset[str]) -> DataFrame:
+    """The pairs of cells that are too large for one task: two forms one edit apart share a string that lacks at most one character of each."""
+
+    def spell(batches):
+        for batch in batches:
+            keys = [sorted(_deletions(f)) for f in batch["form"]]
+            n = list(map(len, keys))
+            yield pd.DataFrame({"name_kind": np.repeat(batch["name_kind"].to_numpy(), n), "cell": np.repeat(batch["cell"].to_numpy(), n), "home": np.repeat(batch["home"].to_numpy(), n), "form": np.repeat(batch["form"].to_numpy(), n), "key": [k for ks in keys for k in ks]})
+
+    def measure(batches):
+        for batch in batches:
+            keep = [distance(a, b) <= RADIUS and plausible(a, b, common) for a, b in zip(batch["a"], batch["b"])]
+            yield batch.loc[keep, ["name_kind", "a", "b"]]
+
+    spelled = rows.mapInPandas(spell, "name_kind string, cell string, home boolean, form string, key string")
+    one, two = spelled.where("home").withColumnRenamed("form", "a").drop("home"), spelled.withColumnRenamed("form", "b").drop("home")
+    pairs = one.join(two, ["name_kind", "cell", "key"]).where("a <> b").select("name_kind", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return pairs.mapInPandas(measure, "name_kind string, a string, b string")
 
 
 def _short_keys(form: str, full: bool) -> list[str]:
@@ -342,7 +408,7 @@ def link_variants(names: DataFrame) -> DataFrame:
     # reading and placing are heavy for the bytes they take, so their parts are stated and not left to be merged by size
     width = shuffle_width(names.sparkSession)
     read = checkpointed(read_names(raw.repartition(width)))
-    parts = read.where("kind = 'person'").select("name_kind", "form").distinct().select(F.explode(F.slice(F.split("form", " "), 1, 6)).alias("t"), (F.size(F.split("form", " "))).alias("n"))
+    parts = read.where("kind = 'person'").select("name_kind", "form").distinct().select(F.explode(F.split("form", " ")).alias("t"), (F.size(F.split("form", " "))).alias("n"))
     total = max(1, read.count())
     tokens = parts.where("length(t) > 2 and n > 1").groupBy("t").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= max(COMMON_LEAST, COMMON_SHARE * total))
     given = {r["t"]: _squeeze(r["t"]) for r in tokens.collect()}
@@ -382,7 +448,11 @@ def link_variants(names: DataFrame) -> DataFrame:
 
 
 def variant_pairs(linked: DataFrame) -> DataFrame:
-    """(name_kind, name_a, name_b) of all pairs of different strings of an entity, the smaller by code point first."""
+    """(name_kind, name_a, name_b) of all pairs of different strings of an entity, the smaller by code point first.
+
+    The pairs are what is asked for; ``linked`` itself has a row per string. Entities of many strings are spread by the first of a pair.
+    """
     a = linked.select("name_kind", "entity", F.col("name").alias("name_a"))
-    b = linked.select("name_kind", "entity", F.col("name").alias("name_b"))
-    return a.join(b, ["name_kind", "entity"]).where("name_a < name_b").select("name_kind", "name_a", "name_b")
+    b = linked.select(F.col("name_kind").alias("_kind"), "entity", F.col("name").alias("name_b"))
+    pairs = skew_join(a, b, "entity", salt_by=F.col("name_a"))
+    return pairs.where("name_kind = _kind and name_a < name_b").select("name_kind", "name_a", "name_b")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.functions.citations import citation_key
+from docketry.functions.citations import citation_key, key_sql
 from docketry.llm.components import connected_components, star_edges
 from docketry.llm.mixing import mix, shares
 from docketry.llm.names import link_variants, variant_pairs
@@ -20,7 +20,12 @@ from docketry.sources.tables import table
 LLM = Registry()
 
 
-@LLM.query("p6_found")
+@LLM.query(
+    "p6_found",
+    f"""WITH RECURSIVE k AS (SELECT DISTINCT case_id, key FROM (SELECT case_id, {key_sql('citation')} AS key FROM enumerated_case UNION ALL SELECT case_id, {key_sql('x')} FROM (SELECT case_id, unnest(parallel_citations) AS x FROM enumerated_case)) WHERE key IS NOT NULL),
+    r AS (SELECT DISTINCT case_id, case_id AS reach FROM k UNION SELECT r.case_id, b.case_id FROM r JOIN k a ON a.case_id = r.reach JOIN k b ON b.key = a.key)
+    SELECT case_id, min(reach) AS group_id FROM r GROUP BY 1 HAVING count(*) > 1""",
+)
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of rows of enumerated_case that share a citation over any number of steps."""
     cases = table(spark, sf_dir, "enumerated_case")
@@ -37,6 +42,20 @@ def p8_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(docs, "doc_id", "tokens", spec).withColumnRenamed("size", "tokens")
 
 
+@LLM.query(
+    "p8_invariants",
+    "SELECT container_name, count(*) FILTER (WHERE length(text) > 0) AS documents, 0 AS overfull, 0 AS needless_cuts, 0 AS doubled FROM documents, container_spec GROUP BY 1",
+)
+def p8_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the containers: every text is in them, none is overfull, nothing that fits is cut, no piece comes twice."""
+    packed = p8_packed(spark, sf_dir)
+    caps = table(spark, sf_dir, "container_spec").select("container_name", F.col("capacity_tokens").alias("cap"))
+    full = packed.groupBy("container_name", "container_id").agg(F.sum("tokens").alias("used")).join(F.broadcast(caps), "container_name").groupBy("container_name").agg(F.count_if(F.col("used") > F.col("cap")).alias("overfull"))
+    whole = packed.groupBy("container_name", "doc_id").agg(F.sum("tokens").alias("size"), F.count(F.lit(1)).alias("pieces"), F.count_distinct("piece_no").alias("distinct")).join(F.broadcast(caps), "container_name")
+    docs = whole.groupBy("container_name").agg(F.count(F.lit(1)).alias("documents"), F.count_if((F.col("size") <= F.col("cap")) & (F.col("pieces") > 1)).alias("needless_cuts"), F.count_if(F.col("pieces") > F.col("distinct")).alias("doubled"))
+    return docs.join(full, "container_name").select("container_name", "documents", "overfull", "needless_cuts", "doubled")
+
+
 def _targets(spark: SparkSession, sf_dir: str) -> list[tuple[str, float, int]]:
     return [(r["source"], r["target_share"], r["max_repeats"]) for r in table(spark, sf_dir, "mix_target").orderBy("source").collect()]
 
@@ -59,6 +78,18 @@ def _function_words(spark: SparkSession, sf_dir: str) -> list[str]:
     return sorted({r["word"] for r in table(spark, sf_dir, "common_word").select("word").distinct().collect() if r["word"]})
 
 
+@LLM.query(
+    "p9_invariants",
+    "SELECT source, EXISTS (SELECT 1 FROM documents d WHERE d.source = t.source AND length(d.text) > 0) AS used, true AS within_cap, true AS near FROM mix_target t",
+)
+def p9_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the mixture: no document more often than its source allows, and shares within a hundredth of the targets of the sources that have documents."""
+    s = p9_shares(spark, sf_dir)
+    open_ = s.where("documents > 0").agg(F.sum("target_share").alias("open"))
+    want = F.when(F.col("documents") > 0, F.col("target_share") / F.col("open")).otherwise(0.0)
+    return s.join(F.broadcast(open_), F.lit(True)).select("source", (F.col("documents") > 0).alias("used"), (F.col("most_repeats") <= F.col("max_repeats")).alias("within_cap"), (F.abs(F.col("actual_share") - want) <= 0.01).alias("near"))
+
+
 def _languages(spark: SparkSession, sf_dir: str) -> dict[str, list[str]]:
     """The function words of each language; a table of fixed size."""
     out: dict[str, list[str]] = {}
@@ -79,6 +110,15 @@ def p10_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _profiled(spark, sf_dir, None)
 
 
+@LLM.query(
+    "p10_counts",
+    "SELECT doc_id, len(regexp_extract_all(text, '[\\p{L}\\p{M}]+(?:[''’][\\p{L}\\p{M}]+)*')) AS n_words, len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\s\\x{0085}\\x{00A0}\\x{2028}\\x{1C}-\\x{1F}]'))) AS n_lines FROM documents WHERE text IS NOT NULL",
+)
+def p10_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plain counts of every document, which SQL can state."""
+    return table(spark, sf_dir, "documents").where("text is not null").select("doc_id").join(p10_stats(spark, sf_dir), "doc_id").select("doc_id", "n_words", "n_lines")
+
+
 @LLM.query("p10_found")
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that are mostly no natural prose."""

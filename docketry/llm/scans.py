@@ -14,11 +14,11 @@ import json
 import math
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +35,6 @@ CONFUSIONS = [
 LEAST = 4
 #: A word that is itself common may still be a reading of one that is this many times as common.
 RATIO = 25.0
-_MOST_SUBSTITUTIONS = 3
 #: Bits of the filter that tells words without a candidate; a fuller filter costs questions, not results.
 _FILTER_BITS, _FILTER_PART = 1 << 26, 1 << 16
 
@@ -63,11 +62,15 @@ class Language:
     total: int
 
 
-_BREAKS = str.maketrans(dict.fromkeys('.,;:()[]"“”?—–\\/_', " "))
+_BREAKS = '.,;:()[]"“”?—–\\/_'
 
 
 def words_of(text: str) -> list[str]:
-    return text.lower().translate(_BREAKS).split()
+    low = text.lower()
+    for c in _BREAKS:
+        if c in low:
+            low = low.replace(c, " ")
+    return low.split()
 
 
 def spellings(text: str, words: Iterable[str]) -> set[str]:
@@ -80,10 +83,13 @@ def spellings(text: str, words: Iterable[str]) -> set[str]:
     return out
 
 
+_PARTS = (("m", "rri"), ("n", "ri"), ("d", "el"), ("u", "ii"), ("h", "li"), ("w", "vv"), ("ﬁ", "fi"), ("ﬂ", "fl"))
+
+
 def _skeleton(word: Column) -> Column:
     """A key that is the same for a word and all its readings: both sides of every confusion spelled out alike."""
     out = F.translate(word, "c0!|51t9@8b", "eoiisllgahh")
-    for char, parts in (("m", "rri"), ("n", "ri"), ("d", "el"), ("u", "ii"), ("h", "li"), ("w", "vv"), ("ﬁ", "fi"), ("ﬂ", "fl")):
+    for char, parts in _PARTS:
         out = F.replace(out, F.lit(char), F.lit(parts))
     return out
 
@@ -174,47 +180,74 @@ def count_language(texts: DataFrame) -> CorpusLanguage:
 
     def count(batches):
         for batch in batches:
-            one: Counter = Counter()
-            two: Counter = Counter()
+            ids: dict[str, int] = {}
+            flat: list[int] = []
+            starts: list[int] = []
+            odd: set[str] = set()
             for t in batch["text"]:
                 if t:
-                    w = words_of(t)
-                    one.update(w)
-                    two.update(zip(w, w[1:]))
+                    starts.append(len(flat))
+                    flat += [ids.setdefault(w, len(ids)) for w in words_of(t)]
                     if "?" in t:
-                        one.update(dict.fromkeys(spellings(t, ()), 0))
-            one.update(dict.fromkeys(spellings("", one), 0))
-            yield pd.DataFrame({"a": [*one, *(a for a, _ in two)], "b": [None] * len(one) + [b for _, b in two], "n": [*one.values(), *two.values()]})
+                        odd |= spellings(t, ())
+            words, at = np.array(list(ids), object), np.array(flat, np.int64)
+            within = np.ones(max(len(at) - 1, 0), bool)
+            within[[x - 1 for x in starts if 0 < x < len(at)]] = False
+            pairs, n = np.unique((at[:-1] * max(len(ids), 1) + at[1:])[within], return_counts=True)
+            one = np.bincount(at, minlength=len(ids))
+            none = [w for w in (odd | spellings("", ids)) if w not in ids]
+            yield pd.DataFrame({"a": [*words, *none, *words[pairs // max(len(ids), 1)]], "b": [*[None] * (len(ids) + len(none)), *words[pairs % max(len(ids), 1)]], "n": np.concatenate([one, np.zeros(len(none), np.int64), n])})
 
     grams = texts.where(F.col("text").isNotNull()).select("text").mapInPandas(count, "a string, b string, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
     return CorpusLanguage(checkpointed(grams.where((F.col("n") >= LEAST) | F.col("b").isNull())))
 
 
+_BY_LAST: dict[tuple[str, str], list[tuple[str, str, float]]] = {}
+for _written, _read, _p in CONFUSIONS:
+    _BY_LAST.setdefault((_written[-1], _read[-1]), []).append((_written, _read, math.log(_p)))
+
+
+def channel(written: str, read: str) -> float | None:
+    """Log-probability of the likeliest way in which one word is read as another through the confusions; None where there is none.
+
+    The words are aligned from left to right; equal characters cost nothing. Any number of confusions is allowed.
+    """
+    rows = [[-math.inf] * (len(read) + 1) for _ in range(len(written) + 1)]
+    rows[0][0] = 0.0
+    for i in range(1, len(written) + 1):
+        a = written[i - 1]
+        for j in range(1, len(read) + 1):
+            b = read[j - 1]
+            best = rows[i - 1][j - 1] if a == b else -math.inf
+            for w, r, cost in _BY_LAST.get((a, b), ()):
+                if i >= len(w) and j >= len(r) and written[i - len(w) : i] == w and read[j - len(r) : j] == r:
+                    best = max(best, rows[i - len(w)][j - len(r)] + cost)
+            rows[i][j] = best
+    return rows[-1][-1] if rows[-1][-1] > -math.inf else None
+
+
 def _readings(w: str, known: dict[str, int], own: int) -> list[tuple[str, float]]:
-    """[(word that may have been written, log-probability of this reading of it)] among the ``known`` words; ``own`` is the word's own count."""
-    found: dict[str, float] = {}
+    """[(word that may have been written, log-probability of this reading of it)] among all the ``known`` words; ``own`` is the word's own count."""
     if not _readable(w):
         return []
-    frontier = {w: 0.0}
-    for _ in range(_MOST_SUBSTITUTIONS):
-        following: dict[str, float] = {}
-        for x, cost in frontier.items():
-            for written, read, p in CONFUSIONS:
-                at = x.find(read)
-                while at >= 0:
-                    y = x[:at] + written + x[at + len(read) :]
-                    c = cost + math.log(p)
-                    if c > following.get(y, -1e9) and y != w:
-                        following[y] = c
-                    at = x.find(read, at + 1)
-        for y, c in following.items():
-            n = known.get(y, 0)
-            if n >= LEAST and n >= RATIO * own * (1 if len(w) > 2 else 20) and y.isalpha() | ("-" in y) and c > found.get(y, -1e9):
-                found[y] = c
-        if len(following) > 400:
-            break
-        frontier = following
-    return sorted(found.items(), key=lambda x: (-x[1], x[0]))[:8]
+    found = []
+    for y, n in known.items():
+        if y != w and n >= LEAST and n >= RATIO * own * (1 if len(w) > 2 else 20) and y.isalpha() | ("-" in y):
+            cost = channel(y, w)
+            if cost is not None:
+                found.append((y, cost))
+    return sorted(found, key=lambda x: (-x[1], x[0]))
+
+
+_ALIKE = str.maketrans("c0!|51t9@8b", "eoiisllgahh")
+
+
+def skeleton(word: str) -> str:
+    """``_skeleton`` of one word."""
+    out = word.translate(_ALIKE)
+    for char, parts in _PARTS:
+        out = out.replace(char, parts)
+    return out
 
 
 class Corrector:
@@ -224,6 +257,7 @@ class Corrector:
         self.lm = language
         self.seen: dict[str, list[tuple[str, float]]] = {}
         self.plain: set[str] = set()
+        self.alike: dict[str, dict[str, int]] | None = None
         self.floor = math.log(0.3 / language.total)
 
     def _log_word(self, w: str) -> float:
@@ -237,7 +271,11 @@ class Corrector:
             return got
         if len(self.seen) > 400_000:
             self.seen.clear()
-        got = self.seen[w] = [(w, math.log(0.97)), *_readings(w, self.lm.words, self.lm.words.get(w, 0))]
+        if self.alike is None:
+            self.alike = {}
+            for y, n in self.lm.words.items():
+                self.alike.setdefault(skeleton(y), {})[y] = n
+        got = self.seen[w] = [(w, math.log(0.97)), *_readings(w, self.alike.get(skeleton(w), {}), self.lm.words.get(w, 0))]
         return got
 
     def suspects(self, text: str) -> bool:

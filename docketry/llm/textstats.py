@@ -62,6 +62,7 @@ def _char_table() -> np.ndarray:
 
 
 _tables: list[np.ndarray] = []
+_letters = np.array([unicodedata.category(chr(i))[0] in "LM" for i in range(0x10000)])
 
 
 def _classes(codes: np.ndarray) -> np.ndarray:
@@ -176,12 +177,12 @@ class Reader:
         owner = np.repeat(np.arange(n), lens)
         classes = _classes(codes).astype(np.int64)
         chars = spread(owner, classes, len(CHARS), None)
-        letter = (classes <= 2) | (classes == CHARS.index("latin1"))
+        letter = _letters[np.where(codes < 0x10000, codes, 0)]
         apart = np.ones(len(codes), bool)
         if len(codes):
             apart[1:] = owner[1:] != owner[:-1]
             mid = np.zeros(len(codes), bool)
-            mid[1:-1] = (classes[1:-1] == CHARS.index("apostrophe")) & letter[:-2] & letter[2:] & ~apart[1:-1] & ~apart[2:]
+            mid[1:-1] = ((codes[1:-1] == 0x27) | (codes[1:-1] == 0x2019)) & letter[:-2] & letter[2:] & ~apart[1:-1] & ~apart[2:]
             inside = letter | mid
             begins = inside & (apart | ~np.concatenate([[False], inside[:-1]]))
             n_words = np.bincount(owner[begins], minlength=n)

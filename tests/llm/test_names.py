@@ -23,12 +23,14 @@ def test_cell_links_are_all_pairs_at_distance_one():
     assert cell_links(words, [True] * len(words)) == want
 
 
-def test_partition_loses_no_pair(spark):
+def test_partition_loses_no_pair_at_any_level(spark):
     rng = random.Random(3)
     words = sorted({"".join(rng.choice("abcdefg") for _ in range(rng.randrange(8, 14))) for _ in range(200)})
     words = sorted({*words, *(w[:i] + rng.choice("xyz") + w[i + 1 :] for w in words for i in [rng.randrange(1, len(w))])})
-    got = sorted((r["a"], r["b"]) for r in radius_links(spark.createDataFrame([("party", w) for w in words], "name_kind string, form string"), frozenset()).collect())
-    assert got == [(a, b) for a in words for b in words if a < b and distance(a, b) == 1]
+    want = [(a, b) for a in words for b in words if a < b and distance(a, b) == 1]
+    forms = spark.createDataFrame([("party", w) for w in words] + [("judge", words[0])], "name_kind string, form string")
+    for most in (20_000, 60, 2):  # one level, a few, and all of them with cells left for the distributed join
+        assert sorted((r["a"], r["b"]) for r in radius_links(forms, frozenset(), most).collect()) == want, most
 
 
 def test_reading():

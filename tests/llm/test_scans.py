@@ -1,4 +1,6 @@
-from docketry.llm.scans import Corrector, Language, analyse, count_language, furniture, scan_noise, words_of
+import math
+
+from docketry.llm.scans import CONFUSIONS, Corrector, Language, analyse, channel, count_language, furniture, scan_noise, skeleton, words_of
 
 SENTENCE = "the officer shall report the matter under section twenty of the act and the pre-emptor shall be heard before the order is made by the board"
 
@@ -70,3 +72,14 @@ def test_a_word_counts_however_large_the_corpus_is(spark):
     assert language.words["kembazodani"] == 5 and language.words["the"] > 12_000_000
     got = {(r["record_id"], r["repaired_text"]) for r in scan_noise(few, language, ["judgment"], repaired=True).collect()}
     assert got == {("bad", "the kembazodani paid the fee"), ("cut", "the kembazodani paid the fee")}
+
+
+def test_channel_is_the_likeliest_way_and_unbounded():
+    cost = {(w, r): math.log(p) for w, r, p in CONFUSIONS}
+    assert channel("order", "order") == 0.0 and channel("order", "ordor") is None
+    assert math.isclose(channel("modern", "rnodcrn"), cost["m", "rn"] + cost["e", "c"])
+    word, read = "seenlessness", "5cc" + "ri" + "lc55" + "ri" + "c55"  # nine confusions, and every one of many candidates is kept
+    assert math.isclose(channel(word, read), 5 * cost["s", "5"] + 4 * cost["e", "c"] + 2 * cost["n", "ri"])
+    assert skeleton(word) == skeleton(read)
+    for w, r, _ in CONFUSIONS:
+        assert skeleton(f"x{w}x") == skeleton(f"x{r}x"), (w, r)
