@@ -23,6 +23,8 @@ from docketry.session import checkpointed, shuffle_width
 #: Radius of the join; pivots at a time, a bounded sample, the forms with the smallest hashes; levels of pivots, each with rings
 #: between, through which a cell is parted until it has at most CELL forms; width of a ring.
 RADIUS, PIVOTS, LEVELS, CELL, RING = 1, 16, 4, 20_000, 4
+#: How often a level may repeat a form on average and still be worth it.
+MOST_COPIES = 4
 #: A given name is common from this share of the forms and this count on: at most 3 / share can be, as forms have few parts.
 COMMON_SHARE, COMMON_LEAST = 0.005, 8
 
@@ -313,7 +315,8 @@ def radius_links(forms: DataFrame, common: frozenset[str], most: int = CELL) ->
     Forms are parted by their nearest pivot. A cell of more than ``most`` forms is parted again: into rings around the empty
     string (the distance from which is the length), then by the nearest of other pivots, into rings around another one, and so
     on through the LEVELS. The triangle inequality tells at each level where a form must be repeated, so that no pair is lost
-    at any. The join of a cell is exact. Cells that no level makes small are joined by their deletions over all executors.
+    at any. The join of a cell is exact. Cells that no level makes small, or that one could part only by repeating forms more
+    than MOST_COPIES times, are joined by their deletions over all executors.
     """
     spark = forms.sparkSession
     empty = "name_kind string, a string, b string"
@@ -347,15 +350,21 @@ def radius_links(forms: DataFrame, common: frozenset[str], most: int = CELL) ->
     width = shuffle_width(spark)
     todo = forms.select("name_kind", F.lit("").alias("cell"), F.lit(True).alias("home"), "form").distinct().repartition(width)
     found = []
+    before = 0
     for level in range(2 * LEVELS):
         placed = checkpointed(todo.mapInPandas(parted(level), schema))
+        after = placed.count()
+        if level and after > MOST_COPIES * before:
+            found.append(_joined_by_deletions(todo, common))
+            break
         sizes = placed.groupBy("name_kind", "cell").agg(F.count(F.lit(1)).alias("n"))
         small = placed.join(sizes.where(F.col("n") <= most), ["name_kind", "cell"], "left_semi")
         found.append(small.repartition(width, "name_kind", "cell").groupBy("name_kind", "cell").applyInPandas(join, empty))
         large = sizes.where(F.col("n") > most)
         if large.isEmpty():
             break
-        todo = placed.join(large, ["name_kind", "cell"], "left_semi").select("name_kind", "cell", "home", "form").repartition(width)
+        todo = checkpointed(placed.join(large, ["name_kind", "cell"], "left_semi").select("name_kind", "cell", "home", "form").repartition(width))
+        before = todo.count()
     else:
         found.append(_joined_by_deletions(todo, common))
     out = found[0]
