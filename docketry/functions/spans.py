@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 
 import pandas as pd
 from pyspark.sql import Column
@@ -29,7 +30,7 @@ SPAN = "array<struct<family string, year int, court string, page int, raw string
 
 
 def citation_spans_of(text: str | None, low: int = 1947, high: int = 2030) -> list[dict]:
-    """Citations of a text by place. Of overlapping ones a notes edition beats its parent, then the longer wins, then the earlier family."""
+    """Citations of a text by place, of the years that the reports cover. Of overlapping ones a notes edition beats its parent, then the longer wins, then the earlier family."""
     found = []
     for rank, (family, pattern) in enumerate(CITATION_FAMILIES):
         for m in pattern.finditer(text or ""):
@@ -38,11 +39,14 @@ def citation_spans_of(text: str | None, low: int = 1947, high: int = 2030) -> li
                 court = m.groupdict().get("court")
                 found.append((m.start(), m.end(), rank, {"family": family, "year": year, "court": court.upper().replace(".", "") if court else "", "page": int(m["page"][:9]), "raw": m.group(0), "start": m.start(), "end": m.end()}))
     found.sort(key=lambda x: (not x[3]["family"].endswith("N"), -(x[1] - x[0]), x[2], x[0]))
-    taken: list[tuple[int, int]] = []
+    starts: list[int] = []  # of the spans that stand, which never overlap; their ends beside them
+    ends: list[int] = []
     out = []
     for start, end, _, row in found:
-        if all(end <= a or start >= b for a, b in taken):
-            taken.append((start, end))
+        k = bisect_left(starts, start)
+        if (k == 0 or ends[k - 1] <= start) and (k == len(starts) or starts[k] >= end):
+            starts.insert(k, start)
+            ends.insert(k, end)
             out.append(row)
     return sorted(out, key=lambda r: r["start"])
 
@@ -82,10 +86,12 @@ def statute_spans_of(text: str | None, reach: int = 200) -> list[dict]:
     """Section references of a text with the statute each belongs to: the one that follows 'of the', else the nearest one before within reach."""
     text = text or ""
     acts = [(m.start(), m.end(), m.group(1)) for m in _ACT.finditer(text)]
+    starts, ends = [x[0] for x in acts], [x[1] for x in acts]
     out = []
     for m in _SECTION.finditer(text):
-        after = next((a for a in acts if a[0] >= m.end() and a[0] - m.end() <= 12 and _OF.match(text[m.end() : a[0]])), None)
-        before = max((a for a in acts if a[1] <= m.start() and m.start() - a[1] <= reach), default=None)
+        k, p = bisect_left(starts, m.end()), bisect_right(ends, m.start()) - 1
+        after = acts[k] if k < len(acts) and starts[k] - m.end() <= 12 and _OF.match(text[m.end() : starts[k]]) else None
+        before = acts[p] if p >= 0 and m.start() - ends[p] <= reach else None
         bound = after or before
         out.append({"kind": m.group(1).lower(), "number": m.group(2), "statute": bound[2] if bound else None, "start": m.start(), "bound_by": "following" if after else "preceding" if before else "none"})
     return out
