@@ -126,3 +126,16 @@ def test_citation_keys_of_all_reporters(spark, tmp_path):
 
     got = {r["id"]: r["k"] for r in CORE.queries["citation_keys"](spark, str(tmp_path)).collect()}
     assert got == {f"j{i}": key(c) for i, c in enumerate(cites)}
+
+
+def test_marks_and_their_undoing(spark):
+    from docketry.operators.quarantine import apply_marks, undo_marks
+
+    records = spark.createDataFrame([(1, "open"), (2, None), (3, "quarantined"), (4, "open"), (None, "open")], "id int, state string")
+    marks = spark.createDataFrame([(1,), (1,), (2,), (3,), (9,), (None,)], "id int")
+    after, before = apply_marks(records, "id", marks, "state", "quarantined")
+    assert {tuple(r) for r in after.collect()} == {(1, "quarantined"), (2, "quarantined"), (3, "quarantined"), (4, "open"), (None, "open")}
+    assert {tuple(r) for r in before.collect()} == {(1, "open"), (2, None)}
+    assert {tuple(r) for r in undo_marks(after, "id", before, "state").collect()} == {tuple(r) for r in records.collect()}
+    none, noted = apply_marks(records.limit(0), "id", marks, "state", "quarantined")
+    assert none.count() == 0 and noted.count() == 0
