@@ -58,17 +58,17 @@ def stalled_sources(spark, sf):
 
 @CORE.query(
     "name_conflicts",
-    r"""WITH t AS (SELECT id, jurisdiction, year_enacted, list_sort(list_distinct(list_filter(string_split(trim(regexp_replace(lower(name), '[^a-z]+', ' ', 'g')), ' '), lambda w: length(w) >= 4))) AS w FROM statute WHERE name IS NOT NULL),
-    p AS (SELECT a.id AS a, b.id AS b, len(list_intersect(a.w, b.w)) AS shared, len(list_distinct(a.w || b.w)) AS whole FROM t a JOIN t b ON a.jurisdiction = b.jurisdiction AND a.year_enacted = b.year_enacted AND a.id < b.id)
+    r"""WITH t AS (SELECT id, jurisdiction, list_sort(list_distinct(list_filter(string_split(trim(regexp_replace(lower(name), '[^a-z]+', ' ', 'g')), ' '), lambda w: length(w) >= 4))) AS w FROM statute WHERE name IS NOT NULL),
+    p AS (SELECT a.id AS a, b.id AS b, len(list_intersect(a.w, b.w)) AS shared, len(list_distinct(a.w || b.w)) AS whole FROM t a JOIN t b ON a.jurisdiction = b.jurisdiction AND a.id < b.id)
     SELECT a AS id_a, b AS id_b, round(shared / whole, 4) AS alike FROM p WHERE shared >= 0.75 * whole AND whole > 0""",
 )
 def name_conflicts(spark, sf):
-    """Statutes of one jurisdiction and year whose names share three quarters of their words; a table of fixed size, joined by the words they share."""
+    """Statutes of one jurisdiction whose names share three quarters of their words; a table of fixed size, joined by the words they share."""
     words = F.array_distinct(F.filter(F.split(F.trim(F.regexp_replace(F.lower("name"), "[^a-z]+", " ")), " "), lambda w: F.length(w) >= 4))
-    t = table(spark, sf, "statute").where("name is not null").select("id", "jurisdiction", "year_enacted", words.alias("w")).withColumn("n", F.size("w"))
-    e = t.select("id", "jurisdiction", "year_enacted", "n", F.explode("w").alias("word"))
-    a = e.select(F.col("id").alias("id_a"), F.col("n").alias("na"), "jurisdiction", "year_enacted", "word")
-    b = e.select(F.col("id").alias("id_b"), F.col("n").alias("nb"), "jurisdiction", "year_enacted", "word")
-    both = a.join(b, ["jurisdiction", "year_enacted", "word"]).where("id_a < id_b").groupBy("id_a", "id_b", "na", "nb").agg(F.count(F.lit(1)).alias("both"))
+    t = table(spark, sf, "statute").where("name is not null").select("id", "jurisdiction", words.alias("w")).withColumn("n", F.size("w"))
+    e = t.select("id", "jurisdiction", "n", F.explode("w").alias("word"))
+    a = e.select(F.col("id").alias("id_a"), F.col("n").alias("na"), "jurisdiction", "word")
+    b = e.select(F.col("id").alias("id_b"), F.col("n").alias("nb"), "jurisdiction", "word")
+    both = a.join(b, ["jurisdiction", "word"]).where("id_a < id_b").groupBy("id_a", "id_b", "na", "nb").agg(F.count(F.lit(1)).alias("both"))
     any_ = F.col("na") + F.col("nb") - F.col("both")
     return both.where(F.col("both") >= 0.75 * any_).select("id_a", "id_b", F.round(F.col("both") / any_, 4).alias("alike"))
