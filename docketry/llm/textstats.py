@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketry.llm.shapes import label
+from docketry.session import shuffle_width
 
 #: Documents that the profiles are fitted on: those with the smallest hashes of their ids.
 SAMPLE = 4000
@@ -313,7 +314,7 @@ def learn_profiles(texts: DataFrame, languages: dict[str, list[str]]) -> Profile
             _, rows = reader.read(list(batch["text"]))
             yield pd.DataFrame({"_h": batch["_h"], "doc_id": batch["doc_id"], "label": [label(t, words) for t in batch["text"]], "row": list(rows)})
 
-    found = picked.select("_h", "doc_id", "text").mapInPandas(look, "_h bigint, doc_id bigint, label string, row array<float>").orderBy("_h", "doc_id").limit(SAMPLE).collect()
+    found = picked.select("_h", "doc_id", "text").repartition(shuffle_width(texts.sparkSession)).mapInPandas(look, "_h bigint, doc_id bigint, label string, row array<float>").orderBy("_h", "doc_id").limit(SAMPLE).collect()
     reader = Reader(languages)
     return fit_profiles(np.array([r["row"] for r in found], np.float32).reshape(len(found), len(reader.columns)), [r["label"] for r in found], reader)
 
