@@ -7,6 +7,7 @@ if they cover most of what is left once site matter is taken away.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -56,37 +57,52 @@ def _grams(c: np.ndarray, order: int) -> np.ndarray:
     return (h >> np.uint32(16)).astype(np.int64)
 
 
-def fit(examples: list[tuple[list[str], list[int]]]) -> ResidueModel:
-    """Models of the three classes from labelled leaves."""
-    tables = np.zeros((len(ORDERS), 3, TABLE), np.float64)
-    by_class: dict[int, list[str]] = {MAIN: [], SITE: [], RESIDUE: []}
-    for leaves, labels in examples:
+class GramCounts:
+    """Occurrences of n-grams by order, class and bucket in labelled leaves: whole numbers, so that the counts of parts add up."""
+
+    def __init__(self) -> None:
+        self.n = np.zeros((len(ORDERS), 3, TABLE), np.int64)
+        self.waiting: dict[int, list[str]] = {MAIN: [], SITE: [], RESIDUE: []}
+        self.size = 0
+
+    def add(self, leaves: list[str], labels: Sequence[int]) -> None:
         for x, y in zip(leaves, labels):
-            by_class[y].append(x)
-    for y, leaves in by_class.items():
-        if not leaves:
-            continue
-        c, _ = _codes(leaves)
-        real = c != 2
-        for o, order in enumerate(ORDERS):
-            tables[o, y] = np.bincount(_grams(c, order)[real], minlength=TABLE)
+            self.waiting[y].append(x)
+            self.size += len(x)
+        if self.size >= 60_000:
+            self._count()
+
+    def _count(self) -> None:
+        for y, leaves in self.waiting.items():
+            if leaves:
+                c, _ = _codes(leaves)
+                real = c != 2
+                for o, order in enumerate(ORDERS):
+                    self.n[o, y] += np.bincount(_grams(c, order)[real], minlength=TABLE)
+                self.waiting[y] = []
+        self.size = 0
+
+    def total(self) -> np.ndarray:
+        self._count()
+        return self.n
+
+
+def fit(counts: np.ndarray) -> ResidueModel:
+    """Models of the three classes from the counts of their n-grams."""
+    tables = counts.astype(np.float64)
     total = tables.sum(axis=2, keepdims=True)
     logs = np.log((tables + _SMOOTH) / (total + _SMOOTH * TABLE)).transpose(0, 2, 1)
     return ResidueModel(np.ascontiguousarray(logs, np.float32))
 
 
-def fit_again(model: ResidueModel, records: list[list[str]], labels: list[list[int] | None]) -> ResidueModel:
-    """One round of self-training: records without a label join the examples where the model is sure of them."""
-    residue, natural = residue_coverage(model, records)
-    share = residue / np.maximum(residue + natural, 1)
-    examples = []
-    for leaves, known, s, n in zip(records, labels, share, residue + natural):
-        if known is not None and (RESIDUE in known or s < COVERAGE):
-            examples.append((leaves, known))
-        elif n and s >= COVERAGE:
-            site = _site_leaves(model, leaves)
-            examples.append((leaves, [SITE if w else RESIDUE for w in site]))
-    return fit(examples)
+def second_labels(model: ResidueModel, records: list[list[str]], labels: list[Sequence[int] | None]) -> list[Sequence[int] | None]:
+    """The labels for a round of self-training: records that are residue by the model are examples of it, unless they were already."""
+    out = list(labels)
+    hit = is_residue_record(*residue_coverage(model, records))
+    for k in np.flatnonzero(hit):
+        if labels[k] is None or RESIDUE not in labels[k]:
+            out[k] = [SITE if w else RESIDUE for w in _site_leaves(model, records[k])]
+    return out
 
 
 def _site_leaves(model: ResidueModel, leaves: list[str]) -> list[bool]:

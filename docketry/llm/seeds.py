@@ -1,18 +1,21 @@
-"""Labels for a bounded sample of records, by the look and the place of their leaves.
+"""Labels for records, by the look and the place of their leaves.
 
 They are training labels alone: the models learn from them, and it is the models that decide.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from collections.abc import Container, Sequence
 from functools import lru_cache
 
 MAIN, SITE, RESIDUE = 0, 1, 2
 
 # What sites put around their content.
-SITE_PHRASES = re.compile(
-    r"^(?:©.*|.*all rights reserved.*|.*\bcookies?\b.*|accept(?: all)?|settings|skip to main content|back to results|you are here:?.*|welcome,? guest.*"
+SITE_WORDS = re.compile(r"all rights reserved|\bcookies?\b", re.I)
+SITE_OPENINGS = re.compile(
+    r"^(?:©.*|accept(?: all)?|settings|skip to main content|back to results|you are here:?.*|welcome,? guest.*"
     r"|home|search|help|login|log in|register|contact|contact us|careers|news|tenders|forms|downloads|gazette|judgments|statutes|feedback|site map|about us|cause list|bench roster|photo gallery|advanced search|صفحہ اول"
     r"|privacy policy|terms of use|disclaimer|refund policy|powered by.*|designed by.*|visitors: ?[\d,]+|best viewed at.*|last updated.*|print(?: this page)?|share|email|tweet|like|save as pdf|bookmark|a-|a|a\+"
     r"|sponsored\b.*|advertisement|article continues below|read also\b.*|listen to this.*|subscribe now.*|start your free trial|sign up to save.*|join our mailing list|get the mobile app|upgrade your plan.*"
@@ -45,54 +48,95 @@ FILLER = re.compile(
 )
 
 
-# What a leaf must have in it for one of the patterns to be worth a search; plain strings are found much faster.
+# What a leaf, with a line end before it, must have in it for one of the patterns to be worth a search; plain strings are found much faster.
 _SIGNS = [
     (TEMPLATE, ["xxxx", "_____", "{", "[", "%", "@@", "#", "<", "«", "__"]),
-    (ERRORS, ["error", "not found", "unavailable", "denied", "forbidden", "blocked", "timed out", "too many", "went wrong", "maintenance", "no longer", "try again", "come back", "object reference", "trace:", "incident ", "help desk",
+    (ERRORS, ["\n40", "\n50", "error", "not found", "unavailable", "denied", "forbidden", "blocked", "timed out", "too many", "went wrong", "maintenance", "no longer", "try again", "come back", "object reference", "trace:", "incident ", "help desk",
               "wait a", "check the", "return to", "expired", "gateway", "could not be", "exception", "restricted to", "taken down", "cannot be shown", "failed to", "not available", "start page", "code 4", "code 50", "in line ",
               "at the moment", "oh no", "oops", "request failed", "did not respond", "ray "]),
     (SCRIPTS, ["java", "without js", "script", "switch it", "turn on", "loading", "enable js", "ad blocker", "browser", "press refresh", "change the setting"]),
-    (FILLER, ["lorem", "ipsum", "placeholder", "dummy", "sample ", "asdf", "qwer", "test", "coming soon", "goes here", "left ", "theme", "body copy", "do not publish", "example ", "write the", "replace with", "edit or", "page design",
+    (FILLER, ["lorem", "ipsum", "placeholder", "dummy", "sample ", "asdf", "qwer", "\ntest", "test summary", "test headnote", "test caption", "test title", "test order", "coming soon", "goes here", "left ", "theme", "body copy", "do not publish", "example ", "write the", "replace with", "edit or", "page design",
               "checking the", "remove before", "default ", "not for", "to be ", "goes in", "filled in"]),
 ]
 
 
-#: A line that stands in so many of the sampled texts from sites, and in no other text to speak of, is what a site puts into all of them.
-RECURS, OWN_SHARE, LEAST_WORDS = 4, 0.9, 6
+def site_phrase(leaf: str) -> bool:
+    low = leaf.lower()
+    return bool(SITE_OPENINGS.match(leaf) or ("reserved" in low or "cookie" in low) and SITE_WORDS.search(leaf))
+
+
+#: A line that stands in such a share of the texts (and in RECURS of them at least), nearly always in texts from sites, is what a site puts into all
+#: of them. A share, since with the number of texts what cases have in common comes to stand in any given number of them by chance.
+RECURS, RECURS_SHARE, OWN_SHARE, LEAST_WORDS = 4, 1 / 400, 0.9, 6
+
+
+def least_recurring(texts: int) -> int:
+    """In how many of so many texts a line must stand to be one that recurs."""
+    return max(RECURS, math.ceil(RECURS_SHARE * texts))
+
+
+def may_recur(line: str, inside: int, whole: int, least: int) -> bool:
+    """Whether a line of several words recurs over texts in which something else is SITE already (inside), of all texts that have it (whole)."""
+    return inside >= least and inside >= OWN_SHARE * whole and len(line.split()) >= LEAST_WORDS and not (COURT.match(line) or CITATION.match(line) or TITLE.match(line))
 
 
-def recurring(texts: list[list[str]], placed: list[list[int]]) -> list[list[int]]:
-    """The labels of the lines of texts with those lines of several words as SITE that recur over texts in which something else is SITE already.
+def free_lines(lines: list[str], labels: Sequence[int], sought: Container[str], frequent: Container[str]) -> set[str]:
+    """The sought lines of a text that begin it, or follow site matter or a line that is not frequent.
 
     What a site puts in stands anywhere; a line that mostly stands behind another line that recurs, such as the heading of
     an order, belongs to how cases are written and is left as it is.
     """
-    inside: dict[str, int] = {}
-    outside: dict[str, int] = {}
-    for lines, labels in zip(texts, placed):
-        seen = inside if SITE in labels else outside
-        for x in set(lines):
-            seen[x] = seen.get(x, 0) + 1
-    anywhere: dict[str, int] = {}
-    for lines, labels in zip(texts, placed):
-        free = {x for k, x in enumerate(lines) if k == 0 or labels[k - 1] == SITE or inside.get(lines[k - 1], 0) + outside.get(lines[k - 1], 0) < RECURS}
-        for x in free:
-            anywhere[x] = anywhere.get(x, 0) + 1
-
-    def recurs(x: str) -> bool:
-        n, whole = inside.get(x, 0), inside.get(x, 0) + outside.get(x, 0)
-        return n >= RECURS and n >= OWN_SHARE * whole and 2 * anywhere.get(x, 0) >= whole and len(x.split()) >= LEAST_WORDS and not (COURT.match(x) or CITATION.match(x) or TITLE.match(x))
-
-    return [[SITE if y == MAIN and recurs(x) else y for x, y in zip(lines, labels)] for lines, labels in zip(texts, placed)]
-
-
-@lru_cache(maxsize=200_000)
+    return {x for k, x in enumerate(lines) if x in sought and (k == 0 or labels[k - 1] == SITE or lines[k - 1] not in frequent)}
+
+
+def recurs(free: int, whole: int) -> bool:
+    """Whether a line that may recur is one a site puts in, by the number of texts in which it is free."""
+    return 2 * free >= whole
+
+
+def relabelled(lines: list[str], labels: Sequence[int], site_lines: Container[str]) -> list[int]:
+    """The labels of the lines of a text with the lines that sites put in as SITE."""
+    return [SITE if y == MAIN and x in site_lines else y for x, y in zip(lines, labels)]
+
+
+#: Leaves up to so many characters are remembered with what the rules say of them. Only speed depends on it.
+_MEMO_CHARS = 400
+
+
+def is_site(leaf: str) -> bool:
+    """Whether a leaf is a phrase or a side heading that sites put around their content."""
+    return _brief_site(leaf) if len(leaf) <= _MEMO_CHARS else _site(leaf)
+
+
+def residue_looks(leaves: list[str]) -> list[bool]:
+    """Which leaves look like residue. The signs are sought in all of them at once, so that few are left to be sought in each."""
+    whole = "\n".join(["", *leaves]).lower()
+    signs = [(pattern, found) for pattern, signs in _SIGNS if (found := [x for x in signs if x in whole])]
+    return [_looks(x, signs) for x in leaves]
+
+
 def is_residue(leaf: str) -> bool:
-    low = leaf.lower()
-    if low[:1] in ("4", "5") and ERRORS.search(leaf):
-        return True
-    brief = leaf.count(" ") < 24  # an error notice is a line or two
-    return any((brief or pattern is not ERRORS) and any(x in low for x in signs) and pattern.search(leaf) for pattern, signs in _SIGNS)
+    return _looks(leaf, _SIGNS)
+
+
+def _looks(leaf: str, among: list[tuple[re.Pattern, list[str]]]) -> bool:
+    low = f"\n{leaf.lower()}"
+    brief = leaf.count(" ") < 24 or leaf[:1] in ("4", "5")  # an error notice is a line or two, or begins with its number
+    for pattern, signs in among:
+        if brief or pattern is not ERRORS:
+            for x in signs:
+                if x in low:
+                    if pattern.search(leaf):
+                        return True
+                    break
+    return False
+
+
+def _site(leaf: str) -> bool:
+    return site_phrase(leaf) or bool(SIDE_HEADS.match(leaf))
+
+
+_brief_site = lru_cache(maxsize=200_000)(_site)
 
 
 def prose_like(leaf: str, common: frozenset[str]) -> bool:
@@ -102,17 +146,20 @@ def prose_like(leaf: str, common: frozenset[str]) -> bool:
 
 def latin_like(leaf: str, common: frozenset[str]) -> bool:
     """Many words, no function word of any language among them, and lower case: filler in a made-up language."""
+    if len(leaf) < 15 or "," in leaf or "|" in leaf or any(w in common and w.isalpha() for w in leaf.lower().split()):
+        return False
     words = re.findall(r"[^\W\d_]+", leaf)
-    return len(words) >= 8 and not any(w.lower() in common for w in words) and sum(w.islower() for w in words) > 0.8 * len(words) and not re.search(r"[|,]", leaf)
+    return len(words) >= 8 and not any(w.lower() in common for w in words) and sum(w.islower() for w in words) > 0.8 * len(words)
 
 
 def label_lines(lines: list[str], common: frozenset[str]) -> list[int]:
     """MAIN or SITE for the lines of a text."""
     out, side = [], False
-    web = any(SITE_PHRASES.match(x) for x in lines[:4])
+    web = any(site_phrase(x) for x in lines[:4])
     begun = not web
     for i, line in enumerate(lines):
-        if SIDE_HEADS.match(line):
+        of_site = is_site(line)
+        if of_site and SIDE_HEADS.match(line):
             side = True
             out.append(SITE)
             continue
@@ -120,7 +167,7 @@ def label_lines(lines: list[str], common: frozenset[str]) -> list[int]:
             out.append(SITE)
             continue
         side = False
-        if SITE_PHRASES.match(line) and (web or len(line) > 12):
+        if of_site and (web or len(line) > 12):
             out.append(SITE)
             continue
         begun = begun or bool(COURT.match(line)) or prose_like(line, common)
@@ -135,7 +182,7 @@ def label_page(leaves: list[tuple[str, tuple[str, ...], tuple[int, ...]]], commo
     if head is None:
         head = next((i for i, (x, path, _) in enumerate(leaves) if path and path[-1] in ("b", "strong") and (TITLE.match(x) or ACT.match(x) or i + 1 < len(leaves) and (CITATION.match(leaves[i + 1][0]) or COUNT.match(leaves[i + 1][0])))), None)
     if head is None:
-        return [MAIN if prose_like(x, common) and not SITE_PHRASES.match(x) else SITE for x, _, _ in leaves]
+        return [MAIN if prose_like(x, common) and not site_phrase(x) else SITE for x, _, _ in leaves]
     ids = leaves[head][2]
     box = ids[-2] if len(ids) > 1 else 0
     side = False
@@ -146,7 +193,7 @@ def label_page(leaves: list[tuple[str, tuple[str, ...], tuple[int, ...]]], commo
             continue
         if SIDE_HEADS.match(x):
             side = True
-        if (side and i > head) or (SITE_PHRASES.match(x) and i > head) or (re.fullmatch(r"\d{1,3}", x) and path[-1:] == ("a",)):
+        if (side and i > head) or (site_phrase(x) and i > head) or (re.fullmatch(r"\d{1,3}", x) and path[-1:] == ("a",)):
             continue
         out[i] = MAIN
     return out
@@ -159,12 +206,12 @@ def label_record(leaves: list[str], placed: list[int], common: frozenset[str]) -
     a case; then all of that text is residue, phrases included that no pattern knows. It is an example of content
     if nothing in it looks like residue.
     """
-    looks = [is_residue(x) or latin_like(x, common) for x in leaves]
-    known = [bool(SITE_PHRASES.match(x) or SIDE_HEADS.match(x)) for x in leaves]
+    looks = [r or latin_like(x, common) for r, x in zip(residue_looks(leaves), leaves)]
+    known = [is_site(x) for x in leaves]
     if not any(r and not k for r, k in zip(looks, known)):
         return list(placed)
     case = any(not r and (prose_like(x, common) or COURT.match(x) and len(x) < 60) for x, r in zip(leaves, looks))
-    open_ = sum(len(x) for x, k, y in zip(leaves, known, placed) if not k and (y == MAIN or is_residue(x)))
+    open_ = sum(len(x) for x, k, y, r in zip(leaves, known, placed, looks) if not k and (y == MAIN or r and is_residue(x)))
     hit = sum(len(x) for x, k, r in zip(leaves, known, looks) if r and not k)
     if case or hit < 0.5 * open_:
         return None

@@ -1,24 +1,29 @@
 """Records taken from the web: which are residue, and which of their pieces are site matter.
 
-The models are fitted on a bounded sample, the records with the smallest hashes of their ids, and broadcast; every
-record is then read in one pass without a shuffle.
+The models of residue are fitted on every record: the executors label the records and count their n-grams, and only counts
+of a fixed size reach the driver. The labeller of blocks is trained on a bounded sample, the records with the smallest
+hashes of their ids. Both are broadcast; every record is then read in one pass without a shuffle.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
+from itertools import compress
 
+import numpy as np
 import pandas as pd
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketry.llm import blocks, residue
 from docketry.llm.pages import page_leaves, text_leaves
-from docketry.llm.seeds import MAIN, RESIDUE, label_lines, label_page, label_record, recurring
-from docketry.session import shuffle_width
+from docketry.llm.seeds import MAIN, RESIDUE, SITE, free_lines, label_lines, label_page, label_record, least_recurring, may_recur, recurs, relabelled
+from docketry.session import checkpointed, shuffle_width
 
-#: Records of each table that the n-gram models, and of them that the block labeller, are fitted on.
-SAMPLE, BLOCK_SAMPLE = 1500, 700
+#: Records of each table that the block labeller is fitted on.
+BLOCK_SAMPLE = 700
 #: Records that are read at a time; among so many there are enough of like length to run together.
 CHUNK = 768
 LINE = ("line",)
@@ -32,13 +37,18 @@ class WebModels:
 
 def read_record(kind: str, body: str | None) -> tuple[list[str], list[tuple[str, ...]], list[int]]:
     """(leaves, their tag paths, their numbers) of a 'page' or 'text' record; a page without any other text has its noscript notice, as number 0."""
+    return _read(kind, body)[:3]
+
+
+def _read(kind: str, body: str | None) -> tuple[list[str], list[tuple[str, ...]], list[int], list[tuple[int, ...]]]:
+    """What read_record gives, and the ids of the elements around each leaf of a page."""
     if kind == "text":
         lines = text_leaves(body)
-        return [x for _, x in lines], [LINE] * len(lines), [i for i, _ in lines]
+        return [x for _, x in lines], [LINE] * len(lines), [i for i, _ in lines], []
     leaves, hidden = page_leaves(body)
     if not leaves:
-        return ([hidden], [("noscript",)], [0]) if hidden else ([], [], [])
-    return [x for x, _, _ in leaves], [p for _, p, _ in leaves], list(range(1, len(leaves) + 1))
+        return ([hidden], [("noscript",)], [0], []) if hidden else ([], [], [], [])
+    return [x for x, _, _ in leaves], [p for _, p, _ in leaves], list(range(1, len(leaves) + 1)), [a for _, _, a in leaves]
 
 
 @dataclass
@@ -61,33 +71,129 @@ def _examples(records: DataFrame, n: int, common: frozenset[str]) -> list[_Examp
         for batch in batches:
             rows = []
             for h, record, kind, body in zip(batch["h"], batch["record_id"], batch["kind"], batch["body"]):
-                leaves, paths, _ = read_record(kind, body)
-                if leaves:
-                    placed = label_page(page_leaves(body)[0], common) if kind == "page" and paths != [("noscript",)] else label_lines(leaves, common)
-                    rows.append((h, record, leaves, ["\n".join(p) for p in paths], placed, label_record(leaves, placed, common)))
-                else:
-                    rows.append((h, record, [], [], [], None))
+                leaves, paths, placed, known = _label(kind, body, common)
+                rows.append((h, record, leaves, ["\n".join(p) for p in paths], placed, known))
             yield pd.DataFrame(rows, columns=["h", "record_id", "leaves", "paths", "placed", "known"], dtype=object)
 
     found = picked.repartition(shuffle_width(records.sparkSession)).mapInPandas(look, "h bigint, record_id string, leaves array<string>, paths array<string>, placed array<int>, known array<int>").orderBy("h", "record_id").limit(n)
     return [_Example(r["leaves"], [tuple(p.split("\n")) for p in r["paths"]], r["placed"], r["known"]) for r in found.drop("h", "record_id").collect()]
 
 
+def _label(kind: str, body: str | None, common: frozenset[str]) -> tuple[list[str], list[tuple[str, ...]], list[int], list[int] | None]:
+    """(leaves, their tag paths, their place as MAIN or SITE, their labels if the record is a clear example) of a record."""
+    leaves, paths, numbers, around = _read(kind, body)
+    if not leaves:
+        return [], [], [], None
+    placed = label_page(list(zip(leaves, paths, around)), common) if kind == "page" and numbers != [0] else label_lines(leaves, common)
+    return leaves, paths, placed, label_record(leaves, placed, common)
+
+
+def _labelled_records(records: DataFrame, common: frozenset[str]) -> DataFrame:
+    """(text, known, lined, sited) of every record that has leaves: the leaves a line each, their labels a byte each or null where the
+    record is no clear example; whether it is a text that is clearly no residue, and one that has site matter. Written once, since it is read in rounds."""
+
+    def look(batches):
+        for batch in batches:
+            rows = []
+            for kind, body in zip(batch["kind"], batch["body"]):
+                leaves, _, _, known = _label(kind, body, common)
+                if leaves:
+                    lined = kind == "text" and known is not None and RESIDUE not in known
+                    rows.append(("\n".join(leaves), None if known is None else bytes(known), lined, lined and SITE in known))
+            yield pd.DataFrame(rows, columns=["text", "known", "lined", "sited"])
+
+    return checkpointed(records.where(F.length("body") > 0).select("kind", "body").mapInPandas(look, "text string, known binary, lined boolean, sited boolean"))
+
+
+def _frequent_lines(labelled: DataFrame) -> tuple[int, dict[str, tuple[int, int]]]:
+    """(the least number of texts in which a line recurs, {line: texts with site matter that have it, all texts that have it} of the lines
+    that recur). A share of the texts is asked, so that there can be no more of them than the lines of some hundreds of texts."""
+    lined = labelled.where("lined")
+    least = least_recurring(lined.count())
+    lines = lined.select(F.explode(F.array_distinct(F.split("text", "\n"))).alias("line"), "sited")
+    found = lines.groupBy("line").agg(F.count_if("sited").alias("inside"), F.count(F.lit(1)).alias("whole")).where(F.col("whole") >= least)
+    return least, {r["line"]: (r["inside"], r["whole"]) for r in found.collect()}
+
+
+def _slots(counts: np.ndarray) -> pd.DataFrame:
+    flat = counts.reshape(-1)
+    at = np.flatnonzero(flat)
+    return pd.DataFrame({"slot": at.astype(np.int32), "line": None, "n": flat[at], "free": 0})
+
+
+def _gathered(parts: DataFrame) -> tuple[np.ndarray, dict[str, tuple[int, int]]]:
+    """The counts by slot, which are of a fixed size, and of the lines that may recur, summed over the tasks."""
+    got = parts.groupBy("slot", "line").agg(F.sum("n").alias("n"), F.sum("free").alias("free")).toArrow()
+    slot, n = got["slot"].to_numpy(), got["n"].to_numpy()
+    counts = np.zeros(residue.GramCounts().n.size, np.int64)
+    counts[slot[slot >= 0]] = n[slot >= 0]
+    lines = got.filter(pc.less(got["slot"], 0)).to_pylist()
+    return counts.reshape(residue.GramCounts().n.shape), {r["line"]: (r["n"], r["free"]) for r in lines}
+
+
+_PARTS = "slot int, line string, n bigint, free bigint"
+
+
+def _residue_model(labelled: DataFrame) -> tuple[residue.ResidueModel, frozenset[str]]:
+    """The n-gram models of all records, with one round of self-training, and the lines that sites put into their texts."""
+    context = labelled.sparkSession.sparkContext
+    least, seen = _frequent_lines(labelled)
+    sought = frozenset(x for x, (inside, whole) in seen.items() if may_recur(x, inside, whole, least))
+    shared = context.broadcast((frozenset(seen), sought))
+
+    def count(batches):
+        frequent, sought = shared.value
+        grams, main, free = residue.GramCounts(), Counter(), Counter()
+        for batch in batches:
+            for text, known, lined in zip(batch["text"], batch["known"], batch["lined"]):
+                leaves = text.split("\n")
+                if lined and not sought.isdisjoint(leaves):  # these lines are counted by themselves until it is known what they are
+                    for x in free_lines(leaves, known, sought, frequent):
+                        free[x] += 1
+                    aside = [y == MAIN and x in sought for x, y in zip(leaves, known)]
+                    main.update(compress(leaves, aside))
+                    rest = [not a for a in aside]
+                    leaves, known = list(compress(leaves, rest)), list(compress(known, rest))
+                grams.add(leaves, known)
+        yield _slots(grams.total())
+        yield pd.DataFrame([(-1, x, main[x], free[x]) for x in main | free], columns=["slot", "line", "n", "free"])
+
+    counts, lines = _gathered(labelled.where("known is not null").select("text", "known", "lined").mapInPandas(count, _PARTS))
+    site_lines = frozenset(x for x, (_, free) in lines.items() if recurs(free, seen[x][1]))
+    for x, (n, _) in lines.items():
+        one = residue.GramCounts()
+        one.add([x], [SITE if x in site_lines else MAIN])
+        counts += n * one.total()
+    model = context.broadcast((residue.fit(counts), site_lines))
+
+    def change(batches):
+        first, site_lines = model.value
+        more, less = residue.GramCounts(), residue.GramCounts()
+        for batch in batches:
+            records = [x.split("\n") for x in batch["text"]]
+            labels = [relabelled(x, y, site_lines) if lined else y for x, y, lined in zip(records, batch["known"], batch["lined"])]
+            for x, old, new in zip(records, labels, residue.second_labels(first, records, labels)):
+                if new is not old:
+                    more.add(x, new)
+                    if old is not None:
+                        less.add(x, old)
+        yield _slots(more.total() - less.total())
+
+    changes, _ = _gathered(labelled.select("text", "known", "lined").mapInPandas(change, _PARTS))
+    return residue.fit(counts + changes), site_lines
+
+
 def fit_models(pages: DataFrame, texts: DataFrame, function_words: list[str], with_blocks: bool) -> WebModels:
-    """Models from at most SAMPLE records (record_id, kind, body) of each of the two tables; empty tables give models that find nothing."""
+    """Models from the records (record_id, kind, body) of the two tables: those of residue from all of them, the block labeller from
+    at most BLOCK_SAMPLE of each; empty tables give models that find nothing."""
     common = frozenset(w.lower() for w in function_words)
-    rows = [(n, x) for records in (pages, texts) for n, x in enumerate(_examples(records, SAMPLE, common)) if x.leaves]
-    lined = [x for _, x in rows if x.paths[0] == LINE and x.known is not None and RESIDUE not in x.known]
-    for x, labels in zip(lined, recurring([x.leaves for x in lined], [x.placed for x in lined])):
-        x.placed = x.known = labels
-    first = residue.fit([(x.leaves, x.known) for _, x in rows if x.known is not None])
-    again = residue.fit_again(first, [x.leaves for _, x in rows], [x.known for _, x in rows])
-    model = None
-    if with_blocks:
-        clear = [x for n, x in rows if n < BLOCK_SAMPLE and x.known is not None and RESIDUE not in x.known]
-        docs = [[blocks.leaf_tokens(t, p) for t, p in zip(x.leaves, x.paths)] for x in clear]
-        model = blocks.train(docs, [x.placed for x in clear])
-    return WebModels(again, model)
+    model, site_lines = _residue_model(_labelled_records(pages.select("kind", "body").unionByName(texts.select("kind", "body")), common))
+    if not with_blocks:
+        return WebModels(model, None)
+    rows = [x for records in (pages, texts) for x in _examples(records, BLOCK_SAMPLE, common)]
+    clear = [x for x in rows if x.leaves and x.known is not None and RESIDUE not in x.known]
+    docs = [[blocks.leaf_tokens(t, p) for t, p in zip(x.leaves, x.paths)] for x in clear]
+    return WebModels(model, blocks.train(docs, [relabelled(x.leaves, x.placed, site_lines) if x.paths[0] == LINE else x.placed for x in clear]))
 
 
 def residue_records(records: DataFrame, models: WebModels) -> DataFrame:
